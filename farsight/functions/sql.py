@@ -53,17 +53,21 @@ SCALAR_FUNCTIONS = {
     "vector_cosine(a ARRAY<FLOAT>, b ARRAY<FLOAT>) RETURNS DOUBLE": """
         coalesce(try_divide(vector_dot(a, b), sqrt(vector_dot(a, a)) * sqrt(vector_dot(b, b))), 0D)
     """,
-    "hashed_counts(t STRING, dim INT) RETURNS ARRAY<DOUBLE>": """
+    "bucket_counts(hashes ARRAY<STRING>, dim INT) RETURNS ARRAY<DOUBLE>": """
         transform(sequence(0, dim - 1), d -> aggregate(
-            filter(transform(text_words(t), w -> md5(w)),
-                   h -> CAST(conv(substr(h, 1, 8), 16, 10) AS BIGINT) % dim = d),
+            filter(hashes, h -> CAST(conv(substr(h, 1, 8), 16, 10) AS BIGINT) % dim = d),
             0D,
             (s, h) -> s + CASE WHEN CAST(conv(substr(h, 9, 2), 16, 10) AS INT) % 2 = 1
                                THEN -1D ELSE 1D END))
     """,
+    "unit_vector(a ARRAY<DOUBLE>, length DOUBLE) RETURNS ARRAY<FLOAT>": """
+        transform(a, x -> CAST(coalesce(try_divide(x, length), 0D) AS FLOAT))
+    """,
+    "scaled_to_unit(a ARRAY<DOUBLE>) RETURNS ARRAY<FLOAT>": """
+        unit_vector(a, sqrt(aggregate(a, 0D, (s, v) -> s + v * v)))
+    """,
     "hashed_vector(t STRING, dim INT) RETURNS ARRAY<FLOAT>": """
-        transform(hashed_counts(t, dim), x -> CAST(coalesce(try_divide(x, sqrt(aggregate(
-            hashed_counts(t, dim), 0D, (s, v) -> s + v * v))), 0D) AS FLOAT))
+        scaled_to_unit(bucket_counts(transform(text_words(t), w -> md5(w)), dim))
     """,
 }
 
@@ -97,12 +101,19 @@ def register_search_function(
                     SELECT id, leg, score,
                            row_number() OVER (PARTITION BY leg ORDER BY score DESC, id) AS place
                     FROM (
-                        SELECT id,
-                               round(vector_cosine(embedding, hashed_vector(q, {dim})),
-                                     {SCORE_DECIMALS}) AS score,
-                               explode(concat(array(''), array_intersect(
-                                   query_keywords(q), text_index_tokens(text)))) AS leg
-                        FROM {view}
+                        SELECT id, score, explode(legs) AS leg
+                        FROM (
+                            SELECT id,
+                                   round(vector_cosine(embedding, vector), {SCORE_DECIMALS})
+                                       AS score,
+                                   concat(array(''), array_intersect(
+                                       keywords, text_index_tokens(text))) AS legs
+                            FROM {view} JOIN (
+                                -- One row: the query, worked out once and not once per point.
+                                SELECT hashed_vector(q, {dim}) AS vector,
+                                       query_keywords(q) AS keywords
+                            ) ON embedding IS NOT NULL
+                        )
                     )
                 )
                 WHERE place <= greatest(10 * k, 50)

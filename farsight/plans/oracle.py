@@ -134,7 +134,7 @@ def legs(limit: int) -> str:
     return f"""
     scored AS (
         SELECT a.query_id, p.id, p.toks, x.keywords,
-            round(coalesce(list_cosine_similarity(p.v, a.qv), 0), 6) AS score
+            round(coalesce(nullif(list_cosine_similarity(p.v, a.qv), 'nan'::DOUBLE), 0), 6) AS score
         FROM points p CROSS JOIN asked a JOIN extracted x ON x.id = a.query_id
     ),
     legged AS (
