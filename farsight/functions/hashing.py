@@ -8,6 +8,7 @@ to unit length. A text without words gives zeros.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=1 << 18)
 def _bucket_and_sign(word: str, dim: int) -> tuple[int, float]:
     digest = hashlib.md5(word.encode("utf-8")).hexdigest()
     return int(digest[:8], 16) % dim, -1.0 if int(digest[8:10], 16) % 2 else 1.0

@@ -101,7 +101,7 @@ def register_search_function(
                     SELECT id, leg, score,
                            row_number() OVER (PARTITION BY leg ORDER BY score DESC, id) AS place
                     FROM (
-                        SELECT id, score, explode(legs) AS leg
+                        SELECT id, score, explode_outer(legs) AS leg
                         FROM (
                             SELECT id,
                                    round(vector_cosine(embedding, vector), {SCORE_DECIMALS})
@@ -112,7 +112,7 @@ def register_search_function(
                                 -- One row: the query, worked out once and not once per point.
                                 SELECT hashed_vector(q, {dim}) AS vector,
                                        query_keywords(q) AS keywords
-                            ) ON embedding IS NOT NULL
+                            ) ON true
                         )
                     )
                 )

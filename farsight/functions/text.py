@@ -70,7 +70,7 @@ def extract_keywords(text: Column, unicode: bool = False) -> Column:
         found, previous = acc["found"], acc["previous"]
         counts = (
             (F.length(word) >= MIN_KEYWORD_LENGTH)
-            & ~word.isin(STOP_WORDS)
+            & (F.find_in_set(word, F.lit(",".join(STOP_WORDS))) == 0)
             & ~F.array_contains(found, word)
         )
         pair = F.concat(previous, word)

@@ -11,11 +11,12 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions.hashing import hashed_counts, unit_rows
+from ..functions.hashing import hashed_counts, to_list_array, unit_rows
 
 # Defaults of the ingest.
 BATCH_SIZE = 100
@@ -127,6 +128,12 @@ def embed_query(embedder: Embedder, query: str) -> list[float]:
     return [float(value) for value in vectors[0]]
 
 
+def _as_lists(vectors) -> pa.Array:
+    if isinstance(vectors, np.ndarray):
+        return to_list_array(vectors)
+    return pa.array([list(vector) for vector in vectors], pa.list_(pa.float32()))
+
+
 def embed_column(
     df: DataFrame, text_col: str, embedder: Embedder, batch_size: int = BATCH_SIZE
 ) -> DataFrame:
@@ -148,7 +155,7 @@ def embed_column(
                 if len(vectors) != len(texts):
                     raise RuntimeError(f"{len(vectors)} vectors for {len(texts)} texts")
                 columns = [part.column(field.name) for field in kept]
-                columns.append(pa.array([list(v) for v in vectors], pa.list_(pa.float32())))
+                columns.append(_as_lists(vectors))
                 yield pa.RecordBatch.from_arrays(columns, [*[f.name for f in kept], "embedding"])
 
     return df.mapInArrow(run, schema)

@@ -82,7 +82,7 @@ def health_report(
 
 def collection_health(store, name: str, embedder) -> DataFrame:
     """The report for a stored collection and the embedder that is to be used with it."""
-    entry = store._entry(name)
+    entry = store.entry(name)
     check_metric(entry["distance"])
     probe = embedder.embed(["preflight test"])
     return health_report(

@@ -41,7 +41,7 @@ def ingest(
     segment only becomes visible if the counts are right. Duplicates are dropped before the model
     is called. Returns (partition_id, upserted_count).
     """
-    entry = store._entry(name)
+    entry = store.entry(name)
     if entry["model_name"] and entry["model_name"] != embedder.model:
         raise ValueError(
             f"{name!r} holds vectors of {entry['model_name']!r}, not of {embedder.model!r}"
@@ -78,7 +78,7 @@ def ingest(
         )
         .withColumn("tokens", index_tokens(F.col("text")))
     )
-    segment, path = store.new_segment(name)
+    segment, path = store.new_segment(entry)
     store.write_points(points, path)
 
     counts = seen_rows.get
@@ -86,5 +86,5 @@ def ingest(
     wrong = seen_vectors.get.get("wrong_size", 0)
     if wrong:
         raise ValueError(f"{wrong} vectors do not have {entry['vector_size']} elements")
-    store.add_segment(name, segment)
+    store.publish(entry, [*entry["segments"], segment])
     return ingest_summary(store.read_segment(path), "seen")

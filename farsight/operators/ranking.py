@@ -15,11 +15,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distance import METRICS, best_first, score_matrix, to_matrix
-from ..functions.text import index_tokens
+from ..functions.text import INDEX_TOKEN_LENGTH, index_tokens
 
 VECTOR_LEG = ""  # no keyword is empty
 DEFAULT_LIMIT = 10
@@ -31,8 +32,11 @@ MAX_BROADCAST_QUERIES = 1024
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 GRID_POINTS_PER_CELL = 20_000
 SCORES_PER_BLOCK = 4_000_000
+FEW_KEYWORDS = 16
 
-CANDIDATE_SCHEMA = "query_key string, hybrid boolean, leg string, id string, score double"
+CANDIDATE_SCHEMA = (
+    "query_key string, hybrid boolean, leg string, id string, score double, task int"
+)
 
 
 @dataclass(frozen=True)
@@ -100,6 +104,8 @@ class LegRanker:
                 self.keyword_legs.setdefault(place[word], []).append(_Leg(q, word, limits.keyword))
 
     def add(self, ids: pa.Array, vectors: pa.Array, tokens: pa.Array | None) -> None:
+        if ids.null_count:
+            raise ValueError("every point needs an id to be ranked")
         step = max(1, SCORES_PER_BLOCK // max(1, len(self.queries.keys)))
         for start in range(0, len(ids), step):
             part = slice(start, start + step)
@@ -146,6 +152,8 @@ class LegRanker:
             leg.offer(goodness[keep], ids.take(pa.array(rows[keep])).to_pylist())
 
     def result(self) -> pa.RecordBatch:
+        context = TaskContext.get()
+        task = context.partitionId() if context else 0
         legs = [*self.vector_legs, *(leg for legs in self.keyword_legs.values() for leg in legs)]
         rows = [
             (
@@ -155,13 +163,14 @@ class LegRanker:
                 point,
                 # + 0.0 turns -0.0 into 0.0
                 -self.sign * cost + 0.0,
+                task,
             )
             for leg in legs
             for cost, point in leg.best
         ]
-        columns = list(zip(*rows)) or [[]] * 5
-        kinds = [pa.string(), pa.bool_(), pa.string(), pa.string(), pa.float64()]
-        names = ["query_key", "hybrid", "leg", "id", "score"]
+        names = ["query_key", "hybrid", "leg", "id", "score", "task"]
+        kinds = [pa.string(), pa.bool_(), pa.string(), pa.string(), pa.float64(), pa.int32()]
+        columns = list(zip(*rows)) or [[]] * len(names)
         return pa.RecordBatch.from_arrays(
             [pa.array(list(column), kind) for column, kind in zip(columns, kinds)], names
         )
@@ -180,27 +189,35 @@ def _feed(ranker: LegRanker, batch: pa.RecordBatch | pa.Table, prefix: str = "")
     )
 
 
-def keyword_matches(points: DataFrame, keywords: list[str]) -> Column:
-    """Which of a few keywords a point holds as whole index tokens.
+def with_matches(points: DataFrame, keywords: list[str]) -> DataFrame:
+    """`points` with `tokens` narrowed to the keywords a point holds as whole index tokens.
 
-    Without stored tokens the text is only cut into words where some keyword occurs in it at all.
+    For a few keywords only. Without stored tokens no text is cut into words: a keyword is looked
+    for as it stands, and only where it occurs is it asked whether it stands alone.
     """
-    wanted = F.array(*[F.lit(word) for word in keywords])
+    shortest, longest = INDEX_TOKEN_LENGTH
+    indexed = [word for word in keywords if shortest <= len(word) <= longest]
     if "tokens" in points.columns:
-        return F.array_intersect(wanted, F.col("tokens"))
-    lowered = F.lower("text")
-    occurs = F.lit(False)
-    for word in keywords:
-        occurs = occurs | F.contains(lowered, F.lit(word))
-    return F.when(occurs, F.array_intersect(wanted, index_tokens(F.col("text")))).otherwise(
-        F.array().cast("array<string>")
+        wanted = F.array(*[F.lit(word) for word in indexed]).cast("array<string>")
+        return points.withColumn("tokens", F.array_intersect(wanted, F.col("tokens")))
+    held = [
+        F.when(
+            F.contains("lowered", F.lit(word))
+            & F.col("lowered").rlike(rf"(?<![\p{{L}}\p{{N}}]){word}(?![\p{{L}}\p{{N}}])"),
+            F.lit(word),
+        )
+        for word in indexed
+    ]
+    return points.withColumn("lowered", F.lower("text")).withColumn(
+        "tokens", F.array_compact(F.array(*held).cast("array<string>"))
     )
 
 
-def _for_ranking(points: DataFrame, tokens: Column | None) -> DataFrame:
-    """Only what ranking needs; texts stay behind until the hits are known."""
-    columns = [F.col("id"), F.col("embedding")]
-    return points.select(*columns, *([tokens.alias("tokens")] if tokens is not None else []))
+def with_tokens(points: DataFrame) -> DataFrame:
+    """`points` with the text index, worked out where it is not stored."""
+    if "tokens" in points.columns:
+        return points
+    return points.withColumn("tokens", index_tokens(F.col("text")))
 
 
 def candidates_broadcast(
@@ -208,14 +225,14 @@ def candidates_broadcast(
 ) -> DataFrame:
     """Candidates of all legs, for a block of queries small enough to send to every task."""
     vocabulary = queries.vocabulary()
+    # Only what ranking needs; texts stay behind until the hits are known.
+    columns = ["id", "embedding", "tokens"]
     if not vocabulary:
-        tokens = None
-    elif len(vocabulary) <= 16:
-        tokens = keyword_matches(points, vocabulary)
-    elif "tokens" in points.columns:
-        tokens = F.col("tokens")
+        columns.remove("tokens")
+    elif len(vocabulary) <= FEW_KEYWORDS:
+        points = with_matches(points, vocabulary)
     else:
-        tokens = index_tokens(F.col("text"))
+        points = with_tokens(points)
     shared = points.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +241,7 @@ def candidates_broadcast(
             _feed(ranker, batch)
         yield ranker.result()
 
-    return _for_ranking(points, tokens).mapInArrow(run, CANDIDATE_SCHEMA)
+    return points.select(*columns).mapInArrow(run, CANDIDATE_SCHEMA)
 
 
 def candidates_grid(
@@ -235,7 +252,6 @@ def candidates_grid(
     metric: str,
     limits: LegLimits,
     queries_per_cell: int = MAX_BROADCAST_QUERIES // 2,
-    points_per_cell: int = GRID_POINTS_PER_CELL,
 ) -> DataFrame:
     """The same candidates when the queries are too many to broadcast.
 
@@ -244,14 +260,14 @@ def candidates_grid(
     and a cell emits the best of each leg, never its pairs.
     """
     bands = max(1, math.ceil(n_queries / queries_per_cell))
-    slices = max(1, math.ceil(points.count() / points_per_cell))
-    tokens = F.col("tokens") if "tokens" in points.columns else index_tokens(F.col("text"))
+    slices = max(1, math.ceil(points.count() / GRID_POINTS_PER_CELL))
 
     def numbered(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
     left = (
-        _for_ranking(points, tokens)
+        with_tokens(points)
+        .select("id", "embedding", "tokens")
         .withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
         .withColumn("band", numbered(bands))
     )
@@ -293,7 +309,7 @@ def rank_legs(candidates: DataFrame, metric: str, limits: LegLimits) -> DataFram
             & ((F.col("leg") == VECTOR_LEG) | (F.col("rank") <= limits.keyword))
         )
 
-    salted = candidates.withColumn("salt", F.spark_partition_id() % groups)
+    salted = candidates.withColumn("salt", F.col("task") % groups).drop("task")
     return cut(cut(salted, "salt").drop("salt", "rank")).select(
         "query_key", "hybrid", "leg", "id", "score", "rank"
     )

@@ -112,8 +112,9 @@ def vector_search(
     vector = query_vector_for(collection, query, query_vector, embedder)
     hits = nearest(collection, vector, limit, offset)
     found = collection.with_texts(hits, few=limit <= MAX_BROADCAST_HITS)
-    ordered = found.orderBy(best_first(collection.distance, F.col("score")), "id")
-    return result_rows(ordered.withColumn("query", F.lit(query)))
+    best = [best_first(collection.distance, F.col("score")), F.col("id")]
+    # The limit changes nothing, but makes this a top-k instead of a sort over a sampled range.
+    return result_rows(found.orderBy(*best).limit(limit).withColumn("query", F.lit(query)))
 
 
 def ranked_legs(
@@ -164,7 +165,7 @@ def search(
         .select("id", "score", F.col("query_key").alias("query"))
     )
     found = collection.with_texts(hits, few=limit <= MAX_BROADCAST_HITS)
-    return result_rows(found.orderBy(F.desc("score"), "id"))
+    return result_rows(found.orderBy(F.desc("score"), "id").limit(limit))
 
 
 def search_many(
@@ -183,25 +184,31 @@ def search_many(
     queries are broadcast if they are few, else both sides are hashed into a grid of cells.
     """
     _check(limit, offset)
-    if "query_vector" not in queries.columns:
-        if embedder is None:
-            raise ValueError("give query vectors or an embedder")
-        _check_model(collection, embedder)
-        queries = embed_column(
-            queries.withColumn("model_text", F.col("query")), "model_text", embedder
-        ).withColumnRenamed("embedding", "query_vector")
-    prepared = queries.select(
-        F.col("query_id").cast("string").alias("query_key"),
-        F.col("query_vector").cast("array<float>").alias("query_vector"),
-        extract_keywords(F.col("query"), unicode_keywords).alias("keywords"),
+    given = "query_vector" in queries.columns
+    if not given and embedder is None:
+        raise ValueError("give query vectors or an embedder")
+    asked = queries.select(
+        "query_id", "query", F.col("query_id").cast("string").alias("query_key")
     )
-    sizes = queries.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(F.col("query_id").cast("string")).alias("ids"),
+    sizes = asked.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("query_key").alias("ids")
     ).first()
     if sizes["ids"] != sizes["rows"]:
         raise ValueError("query_id must be unique and not NULL")
 
+    worded = queries.select(
+        F.col("query_id").cast("string").alias("query_key"),
+        extract_keywords(F.col("query"), unicode_keywords).alias("keywords"),
+        F.col("query_vector").cast("array<float>") if given else F.col("query"),
+    )
+    if given:
+        prepared = worded
+    else:
+        _check_model(collection, embedder)
+        prepared = embed_column(worded, "query", embedder).withColumnRenamed(
+            "embedding", "query_vector"
+        )
+
     limits = LegLimits(limit + offset)
     metric, dim = collection.distance, collection.vector_size
     n_queries = sizes["rows"]
@@ -224,9 +231,6 @@ def search_many(
         .select("query_key", "id", "score")
     )
     found = collection.with_texts(hits, few=n_queries * limit <= MAX_BROADCAST_HITS)
-    asked = queries.select(
-        "query_id", "query", F.col("query_id").cast("string").alias("query_key")
-    )
     return result_rows(
         found.join(F.broadcast(asked) if few else asked, "query_key"), "query_id"
     )

@@ -27,6 +27,7 @@ from ..operators.upsert import keep_last, upsert
 from ..session import fresh_folder
 from ..sources.collection import Collection
 from ..sources.store import CollectionStore
+from ..sources.tables import read_spread
 from ..streaming.ingest import ingest_stream
 
 DIM = 64  # elements of the vectors in `embeddings`, and of the hashed ones
@@ -40,6 +41,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, spread over all cores: each text costs far more than reading it."""
+    return read_spread(spark, f"{folder}/documents.parquet")
+
+
 # ---- collections over the given tables
 
 
@@ -56,7 +62,7 @@ def hashed_collection(
     spark: SparkSession, folder: str, distance: str, normalise: bool = True
 ) -> Collection:
     """All documents with hashed vectors."""
-    documents = table(spark, folder, "documents").select(
+    documents = texts(spark, folder).select(
         F.col("doc_id").alias("id"),
         "text",
         hash_embed_words(words(F.col("text")), DIM, normalise).alias("embedding"),
@@ -247,7 +253,7 @@ def extract_keywords_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_index_postings(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder)
     return (
         documents.select(F.explode(index_tokens(F.col("text"))).alias("token"))
         .groupBy("token")
@@ -258,7 +264,7 @@ def text_index_postings(spark: SparkSession, folder: str) -> DataFrame:
 def _non_zero(df: DataFrame, key: str) -> DataFrame:
     """A vector column as (key, bucket, value) rows."""
     return (
-        df.select(key, F.posexplode("embedding").alias("bucket", "value"))
+        df.select(key, F.posexplode_outer("embedding").alias("bucket", "value"))
         .filter(F.col("value") != 0)
         .select(
             key,
@@ -269,7 +275,7 @@ def _non_zero(df: DataFrame, key: str) -> DataFrame:
 
 
 def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder)
     vectors = documents.select(
         "doc_id", hash_embed_words(words(F.col("text")), DIM).alias("embedding")
     )
@@ -278,7 +284,7 @@ def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
 
 def batch_embed(spark: SparkSession, folder: str) -> DataFrame:
     """The model sees the truncated text, a hundred rows per call."""
-    documents = table(spark, folder, "documents").select(
+    documents = texts(spark, folder).select(
         "doc_id", text_for_embedding(F.col("text")).alias("model_text")
     )
     return _non_zero(embed_column(documents, "model_text", HashEmbedder(DIM)), "doc_id")

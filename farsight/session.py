@@ -1,7 +1,9 @@
-"""Where a job may write: the folder every executor can reach."""
+"""What a job shares with its executors: a folder to write to, and this package."""
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -23,3 +25,22 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A folder under the shared one that no other run uses."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, where it is not installed."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='farsight-package-')}/{package.name}",
+        "zip",
+        root_dir=package.parent,
+        base_dir=package.name,
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)

@@ -72,6 +72,10 @@ class Collection:
         )
         keys = ["id"]
         if self.shard_digits:
-            hits = hits.withColumn("shard", shard_of(point_id(F.col("id")), self.shard_digits))
+            # Spark prunes partitions by a join only if the other side is filtered by something,
+            # and does not see that a top-k is selective; hence a filter that keeps every hit.
+            hits = hits.withColumn(
+                "shard", shard_of(point_id(F.col("id")), self.shard_digits)
+            ).filter(F.col("shard") >= "")
             keys.append("shard")
         return texts.join(F.broadcast(hits) if few else hits, keys).drop("shard")

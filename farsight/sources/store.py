@@ -29,11 +29,13 @@ REGISTRY_SCHEMA = (
     "version bigint, name string, vector_size int, distance string, model_name string, "
     "shard_digits int, segments array<string>"
 )
+ENTRY_COLUMNS = ["name", "vector_size", "distance", "model_name", "shard_digits", "segments"]
 POINT_SCHEMA = (
     "point_id string, id string, text string, embedding array<float>, tokens array<string>, "
     "seen bigint, shard string"
 )
 POINT_COLUMNS = ["point_id", "id", "text", "embedding", "tokens", "seen", "shard"]
+MAX_SHARD_DIGITS = 4
 
 
 class CollectionStore:
@@ -52,7 +54,7 @@ class CollectionStore:
 
     def registry(self) -> DataFrame:
         """The current entry of each collection, read anew at each call."""
-        entry = ["name", "vector_size", "distance", "model_name", "shard_digits", "segments"]
+        entry = ENTRY_COLUMNS
         return (
             self._changes()
             .groupBy(F.lower("name").alias("key"))
@@ -60,8 +62,12 @@ class CollectionStore:
             .select(*[f"entry.{column}" for column in ["version", *entry]])
         )
 
-    def _entry(self, name: str) -> Row:
-        found = self.registry().filter(F.lower("name") == name.lower()).first()
+    def _find(self, name: str) -> Row | None:
+        rows = self.registry().filter(F.lower("name") == name.lower()).collect()
+        return rows[0] if rows else None
+
+    def entry(self, name: str) -> Row:
+        found = self._find(name)
         if found is None:
             raise ValueError(f"no collection named {name!r}")
         return found
@@ -76,8 +82,8 @@ class CollectionStore:
 
         `requests`: seq, name, vector_size, distance, model_name.
         """
-        if not 0 < shard_digits <= 4:
-            raise ValueError("shard_digits must be between 1 and 4")
+        if not 0 < shard_digits <= MAX_SHARD_DIGITS:
+            raise ValueError(f"shard_digits must be between 1 and {MAX_SHARD_DIGITS}")
         # The outcome is written down before the registry changes, or a second look would find
         # every new collection already there.
         outcome_path = f"{self.root}/creations/{uuid.uuid4().hex}"
@@ -118,14 +124,17 @@ class CollectionStore:
                 f"unknown model {model_name!r}: give an explicit vector_size, or one of "
                 f"{', '.join(MODEL_DIMENSIONS)}"
             )
-        request = self.spark.createDataFrame(
-            [(0, name, vector_size, distance, model_name)],
-            "seq bigint, name string, vector_size int, distance string, model_name string",
-        )
-        status = self.create_many(request, shard_digits).first()["status"]
-        if status.startswith("error: "):
-            raise ValueError(f"{name!r}: {status.removeprefix('error: ')}")
-        return status
+        if not 0 < shard_digits <= MAX_SHARD_DIGITS:
+            raise ValueError(f"shard_digits must be between 1 and {MAX_SHARD_DIGITS}")
+        present = self._find(name)
+        if present is not None:
+            if present["name"] != name:
+                raise ValueError(f"{name!r} differs from {present['name']!r} only by case")
+            return f"exists: {name}"
+        size = MODEL_DIMENSIONS[model_name] if vector_size is None else vector_size
+        row = (0, name, size, distance, model_name, shard_digits, [])
+        self._record(self.spark.createDataFrame([row], REGISTRY_SCHEMA))
+        return f"created: {name}"
 
     def list(self, collection_filter: str | None = None) -> DataFrame:
         return list_tables(self.registry(), collection_filter)
@@ -143,8 +152,7 @@ class CollectionStore:
     def segment_path(self, name: str, segment: str) -> str:
         return f"{self.root}/collections/{name}/{segment}"
 
-    def new_segment(self, name: str) -> tuple[str, str]:
-        entry = self._entry(name)
+    def new_segment(self, entry: Row) -> tuple[str, str]:
         segment = uuid.uuid4().hex
         return segment, self.segment_path(entry["name"], segment)
 
@@ -156,27 +164,21 @@ class CollectionStore:
             .parquet(path)
         )
 
-    def publish(self, name: str, segments: list[str]) -> None:
-        entry = self._entry(name)
-        row = (
-            entry["version"] + 1,
-            entry["name"],
-            entry["vector_size"],
-            entry["distance"],
-            entry["model_name"],
-            entry["shard_digits"],
-            segments,
-        )
+    def publish(self, entry: Row, segments: list[str]) -> None:
+        """Show exactly these segments, unless the collection changed since `entry` was read."""
+        if self.entry(entry["name"])["version"] != entry["version"]:
+            raise RuntimeError(f"{entry['name']!r} was changed by another writer meanwhile")
+        changed = {**entry.asDict(), "version": entry["version"] + 1, "segments": segments}
+        row = [changed[column] for column in ["version", *ENTRY_COLUMNS]]
         self._record(self.spark.createDataFrame([row], REGISTRY_SCHEMA))
 
-    def add_segment(self, name: str, segment: str) -> None:
-        self.publish(name, [*self._entry(name)["segments"], segment])
-
     def read_segment(self, path: str) -> DataFrame:
         return self.spark.read.schema(POINT_SCHEMA).parquet(path).select(*POINT_COLUMNS)
 
     def points(self, name: str) -> DataFrame:
-        entry = self._entry(name)
+        return self._points_of(self.entry(name))
+
+    def _points_of(self, entry: Row) -> DataFrame:
         paths = [self.segment_path(entry["name"], segment) for segment in entry["segments"]]
         if not paths:
             return self.spark.createDataFrame([], POINT_SCHEMA).select(*POINT_COLUMNS)
@@ -186,13 +188,13 @@ class CollectionStore:
 
     def compact(self, name: str) -> None:
         """Fold all segments into one, and show only that."""
-        entry = self._entry(name)
+        entry = self.entry(name)
         if len(entry["segments"]) < 2:
             return
-        segment, path = self.new_segment(name)
+        segment, path = self.new_segment(entry)
         spread = F.pmod(F.xxhash64("point_id"), F.lit(self.writers_per_shard(entry)))
-        self.write_points(self.points(name).repartition("shard", spread), path)
-        self.publish(name, [segment])
+        self.write_points(self._points_of(entry).repartition("shard", spread), path)
+        self.publish(entry, [segment])
 
     def writers_per_shard(self, entry: Row) -> int:
         """How many tasks share a shard, so that all of them together fill the cluster."""
@@ -200,10 +202,10 @@ class CollectionStore:
         return max(1, tasks // 16 ** entry["shard_digits"])
 
     def collection(self, name: str) -> Collection:
-        entry = self._entry(name)
+        entry = self.entry(name)
         return Collection(
             entry["name"],
-            self.points(name),
+            self._points_of(entry),
             entry["vector_size"],
             entry["distance"],
             entry["model_name"],
