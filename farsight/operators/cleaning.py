@@ -33,7 +33,7 @@ def clean(rows: DataFrame) -> DataFrame:
 
 
 def missing_id_counts() -> list[Column]:
-    """Aggregates to observe on rows before cleaning."""
+    """Aggregates over rows before cleaning."""
     return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~has_id(F.col("original_id"))).alias("without_id"),

@@ -37,8 +37,8 @@ def ingest(
 ) -> DataFrame:
     """Clean, keep the last row per id, embed, check and write; then show the new segment.
 
-    The source is read once: what would make the run fail is counted while it is written, and the
-    segment only becomes visible if the counts are right. Duplicates are dropped before the model
+    The source is read once: vectors of the wrong size are counted while they are written, and the
+    segment only becomes visible if there are none. Duplicates are dropped before the model
     is called. Returns (partition_id, upserted_count).
     """
     entry = store.entry(name)
@@ -50,11 +50,9 @@ def ingest(
     def column(given: Column | str | None) -> Column | None:
         return F.col(given) if isinstance(given, str) else given
 
-    seen_rows, seen_vectors = Observation(), Observation()
+    seen_vectors = Observation()
     digits = entry["shard_digits"]
-    rows = id_and_text(source, column(id_col), column(text_col), column(seq_col)).observe(
-        seen_rows, *missing_id_counts()
-    )
+    rows = id_and_text(source, column(id_col), column(text_col), column(seq_col))
     latest = keep_last(clean(rows), "original_id", "seq", seen="seen")
     spread = F.pmod(F.xxhash64("point_id"), F.lit(store.writers_per_shard(entry)))
     placed = (
@@ -81,9 +79,12 @@ def ingest(
     segment, path = store.new_segment(entry)
     store.write_points(points, path)
 
-    counts = seen_rows.get
-    require_some_ids(counts.get("rows", 0), counts.get("without_id", 0))
-    wrong = seen_vectors.get.get("wrong_size", 0)
+    if store.read_segment(path).isEmpty():
+        # Nothing to publish; only now is it worth a second look at the source to say why.
+        counts = rows.agg(*missing_id_counts()).first()
+        require_some_ids(counts["rows"], counts["without_id"])
+        return ingest_summary(store.read_segment(path), "seen")
+    wrong = seen_vectors.get["wrong_size"]
     if wrong:
         raise ValueError(f"{wrong} vectors do not have {entry['vector_size']} elements")
     store.publish(entry, [*entry["segments"], segment])
