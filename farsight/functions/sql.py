@@ -1,12 +1,14 @@
 """A collection as a SQL table: `SELECT ... FROM search_docs('some words', 10) WHERE SCORE > 0.5`.
 
 The functions are session-local SQL functions, so a call is inlined into the query around it and
-planned with it. Queries are embedded by the hashed stand-in, which SQL can express.
+planned with it.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .distance import SCORE_DECIMALS
 from .text import (
@@ -78,14 +80,39 @@ def register_functions(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
 
 
+def register_embedder(spark: SparkSession, function: str, embedder) -> None:
+    """`function(text)` returns the vector an embedder gives."""
+
+    @F.arrow_udf("array<float>")
+    def embed(texts: pa.Array) -> pa.Array:
+        vectors = embedder.embed([text or "" for text in texts.to_pylist()])
+        return pa.array([[float(x) for x in vector] for vector in vectors], pa.list_(pa.float32()))
+
+    spark.udf.register(function, embed)
+
+
 def register_search_function(
-    spark: SparkSession, function: str, view: str, dim: int, rrf_constant: int = 60
+    spark: SparkSession,
+    function: str,
+    view: str,
+    dim: int,
+    embedder=None,
+    rrf_constant: int = 60,
+    task_groups: int = 256,
 ) -> None:
     """`function(query, k)` returns ID, TEXT, SCORE, QUERY by hybrid search in a view of points.
 
-    The view has id, text and embedding, compared by cosine.
+    The view has id, text, embedding and perhaps tokens, and is compared by cosine. Without an
+    embedder queries get hashed vectors, which plain SQL can work out.
     """
     register_functions(spark)
+    vector = f"hashed_vector(q, {dim})"
+    if embedder is not None:
+        register_embedder(spark, f"{function}_embed", embedder)
+        vector = f"{function}_embed(q)"
+    stored = "tokens" in spark.table(view).columns
+    tokens = "tokens" if stored else "text_index_tokens(text)"
+    # Legs are cut within groups of tasks first, then over all, and the hits looked up last.
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {function}(q STRING, k INT)
@@ -95,26 +122,32 @@ def register_search_function(
         FROM (
             SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS place
             FROM (
-                SELECT id, CASE WHEN size(query_keywords(q)) = 0 THEN max(score)
+                SELECT id, CASE WHEN max(n_keywords) = 0 THEN max(score)
                            ELSE round(sum(1D / ({rrf_constant} + place)), 9) END AS score
                 FROM (
-                    SELECT id, leg, score,
+                    SELECT id, leg, score, n_keywords,
                            row_number() OVER (PARTITION BY leg ORDER BY score DESC, id) AS place
                     FROM (
-                        SELECT id, score, explode_outer(legs) AS leg
+                        SELECT *, row_number() OVER (
+                            PARTITION BY leg, tasks ORDER BY score DESC, id) AS task_place
                         FROM (
-                            SELECT id,
-                                   round(vector_cosine(embedding, vector), {SCORE_DECIMALS})
-                                       AS score,
-                                   concat(array(''), array_intersect(
-                                       keywords, text_index_tokens(text))) AS legs
-                            FROM {view} JOIN (
-                                -- One row: the query, worked out once and not once per point.
-                                SELECT hashed_vector(q, {dim}) AS vector,
-                                       query_keywords(q) AS keywords
-                            ) ON true
+                            SELECT id, score, n_keywords, explode_outer(legs) AS leg,
+                                   spark_partition_id() % {task_groups} AS tasks
+                            FROM (
+                                SELECT id, size(keywords) AS n_keywords,
+                                       round(vector_cosine(embedding, vector), {SCORE_DECIMALS})
+                                           AS score,
+                                       concat(array(''), array_intersect(keywords, {tokens}))
+                                           AS legs
+                                FROM {view} JOIN (
+                                    -- One row: the query, worked out once, not once per point.
+                                    SELECT {vector} AS vector, query_keywords(q) AS keywords
+                                ) ON true
+                            )
                         )
                     )
+                    WHERE task_place <= greatest(10 * k, 50)
+                      AND (leg = '' OR task_place <= greatest(4 * k, 20))
                 )
                 WHERE place <= greatest(10 * k, 50)
                   AND (leg = '' OR place <= greatest(4 * k, 20))

@@ -36,8 +36,13 @@ def words(text: Column) -> Column:
 
 def index_tokens(text: Column) -> Column:
     """The distinct words of a text that the text index keeps (2 to 40 characters)."""
+    return tokens_of_words(words(text))
+
+
+def tokens_of_words(word_list: Column) -> Column:
+    """`index_tokens` for a text already cut into words."""
     shortest, longest = INDEX_TOKEN_LENGTH
-    kept = F.filter(words(text), lambda w: F.length(w).between(shortest, longest))
+    kept = F.filter(word_list, lambda w: F.length(w).between(shortest, longest))
     return F.coalesce(F.array_distinct(kept), F.array().cast("array<string>"))
 
 

@@ -7,14 +7,14 @@ import re
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from ..functions.hashing import hashed_counts, to_list_array, unit_rows
 
@@ -139,23 +139,21 @@ def embed_column(
 ) -> DataFrame:
     """Replace the text column by `embedding`, at most `batch_size` texts per model call.
 
-    Arrow batches stream through each task; nothing but the current one is held.
+    Only this column travels to the embedder and only vectors come back. The function is declared
+    nondeterministic so that Spark never evaluates it twice for one row.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
-    kept = [field for field in df.schema.fields if field.name != text_col]
-    schema = T.StructType([*kept, T.StructField("embedding", T.ArrayType(T.FloatType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, batch_size):
-                part = batch.slice(start, batch_size)
-                texts = part.column(text_col).to_pylist()
-                vectors = embedder.embed(texts)
-                if len(vectors) != len(texts):
-                    raise RuntimeError(f"{len(vectors)} vectors for {len(texts)} texts")
-                columns = [part.column(field.name) for field in kept]
-                columns.append(_as_lists(vectors))
-                yield pa.RecordBatch.from_arrays(columns, [*[f.name for f in kept], "embedding"])
-
-    return df.mapInArrow(run, schema)
+
+    def embed(texts: pa.Array) -> pa.Array:
+        parts = []
+        for start in range(0, len(texts), batch_size):
+            part = texts.slice(start, batch_size).to_pylist()
+            vectors = embedder.embed(part)
+            if len(vectors) != len(part):
+                raise RuntimeError(f"{len(vectors)} vectors for {len(part)} texts")
+            parts.append(_as_lists(vectors))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
+    once = F.arrow_udf(embed, "array<float>").asNondeterministic()
+    return df.withColumn("embedding", once(F.col(text_col))).drop(text_col)

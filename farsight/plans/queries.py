@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_embed_words
 from ..functions.ids import point_id
 from ..functions.sql import register_search_function
-from ..functions.text import extract_keywords, index_tokens, text_for_embedding, words
+from ..functions.text import (
+    extract_keywords,
+    index_tokens,
+    text_for_embedding,
+    tokens_of_words,
+    words,
+)
 from ..operators import search as S
 from ..operators.catalog import list_tables
 from ..operators.cleaning import clean, id_and_text
@@ -62,10 +68,14 @@ def hashed_collection(
     spark: SparkSession, folder: str, distance: str, normalise: bool = True
 ) -> Collection:
     """All documents with hashed vectors."""
-    documents = texts(spark, folder).select(
-        F.col("doc_id").alias("id"),
+    worded = texts(spark, folder).select(
+        F.col("doc_id").alias("id"), "text", words(F.col("text")).alias("words")
+    )
+    documents = worded.select(
+        "id",
         "text",
-        hash_embed_words(words(F.col("text")), DIM, normalise).alias("embedding"),
+        hash_embed_words(F.col("words"), DIM, normalise).alias("embedding"),
+        tokens_of_words(F.col("words")).alias("tokens"),
     )
     return Collection.from_table("hashed", documents, DIM, distance=distance)
 

@@ -46,11 +46,12 @@ class Collection:
         vector_col: str = "embedding",
         **settings,
     ) -> Collection:
-        """A collection over any table that already has vectors."""
+        """A collection over any table that already has vectors, and perhaps tokens."""
         points = df.select(
             F.col(id_col).cast("string").alias("id"),
             F.coalesce(text_col, F.lit("")).alias("text"),
             F.col(vector_col).cast("array<float>").alias("embedding"),
+            *(["tokens"] if "tokens" in df.columns else []),
         )
         return cls(name, points, vector_size, **settings)
 

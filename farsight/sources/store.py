@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.distance import check_metric
@@ -63,8 +64,8 @@ class CollectionStore:
         )
 
     def _find(self, name: str) -> Row | None:
-        rows = self.registry().filter(F.lower("name") == name.lower()).collect()
-        return rows[0] if rows else None
+        mine = self._changes().filter(F.lower("name") == name.lower())
+        return mine.orderBy(F.desc("version")).limit(1).first()
 
     def entry(self, name: str) -> Row:
         found = self._find(name)
@@ -72,6 +73,12 @@ class CollectionStore:
             raise ValueError(f"no collection named {name!r}")
         return found
 
+    def _one_change(self, *values) -> DataFrame:
+        fields = T.StructType.fromDDL(REGISTRY_SCHEMA).fields
+        return self.spark.range(1).select(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values)]
+        )
+
     def _record(self, changes: DataFrame) -> None:
         changes.coalesce(1).write.mode("append").parquet(self._registry_path)
 
@@ -132,8 +139,7 @@ class CollectionStore:
                 raise ValueError(f"{name!r} differs from {present['name']!r} only by case")
             return f"exists: {name}"
         size = MODEL_DIMENSIONS[model_name] if vector_size is None else vector_size
-        row = (0, name, size, distance, model_name, shard_digits, [])
-        self._record(self.spark.createDataFrame([row], REGISTRY_SCHEMA))
+        self._record(self._one_change(0, name, size, distance, model_name, shard_digits, []))
         return f"created: {name}"
 
     def list(self, collection_filter: str | None = None) -> DataFrame:
@@ -169,8 +175,8 @@ class CollectionStore:
         if self.entry(entry["name"])["version"] != entry["version"]:
             raise RuntimeError(f"{entry['name']!r} was changed by another writer meanwhile")
         changed = {**entry.asDict(), "version": entry["version"] + 1, "segments": segments}
-        row = [changed[column] for column in ["version", *ENTRY_COLUMNS]]
-        self._record(self.spark.createDataFrame([row], REGISTRY_SCHEMA))
+        values = [changed[column] for column in ["version", *ENTRY_COLUMNS]]
+        self._record(self._one_change(*values))
 
     def read_segment(self, path: str) -> DataFrame:
         return self.spark.read.schema(POINT_SCHEMA).parquet(path).select(*POINT_COLUMNS)
