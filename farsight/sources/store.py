@@ -203,9 +203,10 @@ class CollectionStore:
         self.publish(entry, [segment])
 
     def writers_per_shard(self, entry: Row) -> int:
-        """How many tasks share a shard, so that all of them together fill the cluster."""
+        """Into how many parts a shard is hashed, so that all parts together fill the cluster
+        evenly: eight for each shuffle partition."""
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return max(1, tasks // 16 ** entry["shard_digits"])
+        return max(1, 8 * tasks // 16 ** entry["shard_digits"])
 
     def collection(self, name: str) -> Collection:
         entry = self.entry(name)
