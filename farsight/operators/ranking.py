@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,19 @@ class QueryBlock:
         return sorted({word for words in self.keywords for word in words})
 
 
+class _Block:
+    """The ids of some points, and their order, which is only worked out to settle a tie."""
+
+    def __init__(self, ids: pa.Array):
+        self.ids = ids
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        order = np.empty(len(self.ids), dtype=np.int64)
+        order[pc.sort_indices(self.ids).to_numpy()] = np.arange(len(self.ids))
+        return order
+
+
 @dataclass
 class _Leg:
     query: int
@@ -82,8 +96,18 @@ class _Leg:
     best: list[tuple[float, str]] = field(default_factory=list)  # (-goodness, id), best first
     floor: float = -math.inf
 
-    def offer(self, goodness: np.ndarray, ids: list[str]) -> None:
-        self.best = sorted([*self.best, *zip((-goodness).tolist(), ids)])[: self.limit]
+    def offer(self, block: _Block, rows: np.ndarray, goodness: np.ndarray) -> None:
+        """Take from these rows of a block what belongs to the best."""
+        keep = np.flatnonzero(goodness >= self.floor)
+        if len(keep) > self.limit:
+            values = goodness[keep]
+            cut = np.partition(values, len(values) - self.limit)[len(values) - self.limit]
+            sure = keep[values > cut]
+            tied = keep[values == cut]
+            by_id = np.argsort(block.order[rows[tied]], kind="stable")
+            keep = np.concatenate([sure, tied[by_id[: self.limit - len(sure)]]])
+        ids = block.ids.take(pa.array(rows[keep])).to_pylist()
+        self.best = sorted([*self.best, *zip((-goodness[keep]).tolist(), ids)])[: self.limit]
         if len(self.best) == self.limit:
             self.floor = -self.best[-1][0]
 
@@ -114,15 +138,23 @@ class LegRanker:
     def _add_block(self, ids: pa.Array, vectors: pa.Array, tokens: pa.Array | None) -> None:
         points = to_matrix(vectors, self.queries.vectors.shape[1])
         goodness = self.sign * score_matrix(self.metric, self.queries.vectors, points)
-        id_order = np.empty(len(ids), dtype=np.int64)
-        id_order[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-        for leg in self.vector_legs:
-            self._offer(leg, ids, id_order, np.arange(len(ids)), goodness[leg.query])
+        block = _Block(ids)
+        self._offer_all(self.vector_legs, block, np.arange(len(ids)), goodness)
         if tokens is None or not len(self.vocabulary):
             return
         for word, rows in self._rows_by_keyword(tokens):
-            for leg in self.keyword_legs[word]:
-                self._offer(leg, ids, id_order, rows, goodness[leg.query, rows])
+            legs = self.keyword_legs[word]
+            asking = [leg.query for leg in legs]
+            self._offer_all(legs, block, rows, goodness[np.ix_(asking, rows)])
+
+    @staticmethod
+    def _offer_all(legs: list[_Leg], block: _Block, rows: np.ndarray, goodness: np.ndarray) -> None:
+        """One row of `goodness` per leg; most legs soon have nothing to gain from a block."""
+        if not len(rows):
+            return
+        floors = np.array([leg.floor for leg in legs])
+        for at in np.flatnonzero(goodness.max(axis=1, initial=-math.inf) >= floors):
+            legs[at].offer(block, rows, goodness[at])
 
     def _rows_by_keyword(self, tokens: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         word = pc.index_in(tokens.flatten(), value_set=self.vocabulary)
@@ -136,21 +168,6 @@ class LegRanker:
         for start, rows in zip(starts, np.split(row, starts[1:])):
             yield int(word[start]), rows
 
-    @staticmethod
-    def _offer(
-        leg: _Leg, ids: pa.Array, id_order: np.ndarray, rows: np.ndarray, goodness: np.ndarray
-    ) -> None:
-        keep = np.flatnonzero(goodness >= leg.floor)
-        if len(keep) > leg.limit:
-            values = goodness[keep]
-            cut = np.partition(values, len(values) - leg.limit)[len(values) - leg.limit]
-            sure = keep[values > cut]
-            tied = keep[values == cut]
-            by_id = np.argsort(id_order[rows[tied]], kind="stable")
-            keep = np.concatenate([sure, tied[by_id[: leg.limit - len(sure)]]])
-        if len(keep):
-            leg.offer(goodness[keep], ids.take(pa.array(rows[keep])).to_pylist())
-
     def result(self) -> pa.RecordBatch:
         context = TaskContext.get()
         task = context.partitionId() if context else 0

@@ -5,8 +5,8 @@
 
 An ingest writes one new segment and makes it visible by adding a row to the registry; a failed or
 refused one leaves nothing visible. Where segments hold the same point the later one counts, so an
-upsert costs as much as the rows it brings, not as much as the collection. `compact` folds the
-segments into one. A collection takes one writer at a time.
+upsert costs as much as the rows it brings, not as much as the collection. `compact` folds segments
+together. A collection takes one writer at a time.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from ..functions.distance import check_metric
 from ..operators.catalog import list_tables
 from ..operators.creation import MODEL_DIMENSIONS, plan_creation
-from ..operators.upsert import overlay
+from ..operators.upsert import keep_last, overlay
 from .collection import Collection
 
 REGISTRY_SCHEMA = (
@@ -185,22 +185,38 @@ class CollectionStore:
         return self._points_of(self.entry(name))
 
     def _points_of(self, entry: Row) -> DataFrame:
-        paths = [self.segment_path(entry["name"], segment) for segment in entry["segments"]]
-        if not paths:
+        if not entry["segments"]:
             return self.spark.createDataFrame([], POINT_SCHEMA).select(*POINT_COLUMNS)
-        return reduce(
-            lambda older, newer: overlay(older, newer, "point_id"), map(self.read_segment, paths)
-        )
-
-    def compact(self, name: str) -> None:
-        """Fold all segments into one, and show only that."""
+        first, *later = entry["segments"]
+        base = self._segment(entry, first)
+        return overlay(base, self._newest(entry, later), "point_id") if later else base
+
+    def _segment(self, entry: Row, segment: str) -> DataFrame:
+        return self.read_segment(self.segment_path(entry["name"], segment))
+
+    def _newest(self, entry: Row, segments: list[str]) -> DataFrame:
+        """The points of several segments, those of later ones first."""
+        if len(segments) == 1:
+            return self._segment(entry, segments[0])
+        numbered = [
+            self._segment(entry, segment).withColumn("age", F.lit(number))
+            for number, segment in enumerate(segments)
+        ]
+        every = reduce(DataFrame.unionByName, numbered)
+        return keep_last(every, "point_id", "age").select(*POINT_COLUMNS)
+
+    def compact(self, name: str, later_only: bool = False) -> None:
+        """Fold all segments into one; or all but the first, which may be far larger."""
         entry = self.entry(name)
-        if len(entry["segments"]) < 2:
+        kept = entry["segments"][:1] if later_only else []
+        folded = entry["segments"][len(kept) :]
+        if len(folded) < 2:
             return
+        points = self._newest(entry, folded) if kept else self._points_of(entry)
         segment, path = self.new_segment(entry)
         spread = F.pmod(F.xxhash64("point_id"), F.lit(self.writers_per_shard(entry)))
-        self.write_points(self._points_of(entry).repartition("shard", spread), path)
-        self.publish(entry, [segment])
+        self.write_points(points.repartition("shard", spread), path)
+        self.publish(entry, [*kept, segment])
 
     def writers_per_shard(self, entry: Row) -> int:
         """Into how many parts a shard is hashed, so that all parts together fill the cluster

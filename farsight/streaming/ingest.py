@@ -26,13 +26,14 @@ def ingest_stream(
 
     No state is kept between batches. A batch run again after a failure writes the same points
     once more, and since point ids are stable they replace themselves. Later batches win over
-    earlier ones. Segments are folded together every `compact_every` batches.
+    earlier ones. What has streamed in is folded together every `compact_every` batches, apart from
+    the first segment; to fold that in as well is a matter for `compact`, at a quiet hour.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         ingest(store, name, batch, embedder, **settings)
         if (batch_id + 1) % compact_every == 0:
-            store.compact(name)
+            store.compact(name, later_only=True)
 
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
