@@ -22,6 +22,9 @@ MODEL_DIMENSIONS = {
     "nomic-embed-text": 768,
 }
 
+# A name is also a folder.
+NAME_PATTERN = "[A-Za-z0-9_][A-Za-z0-9_.-]*"
+
 
 def resolved_size(vector_size: Column, model_name: Column) -> Column:
     """The explicit size, else the size of a known model, else NULL."""
@@ -29,7 +32,9 @@ def resolved_size(vector_size: Column, model_name: Column) -> Column:
     return F.coalesce(vector_size, F.try_element_at(known, model_name)).cast("int")
 
 
-def request_problem(distance: Column, size: Column, model_name: Column) -> Column:
+def request_problem(
+    name: Column, distance: Column, size: Column, model_name: Column
+) -> Column:
     """Why a request cannot be met, or NULL. The metric is looked at first."""
     return (
         F.when(~F.coalesce(distance.isin(*METRICS), F.lit(False)), F.lit("invalid distance"))
@@ -38,6 +43,10 @@ def request_problem(distance: Column, size: Column, model_name: Column) -> Colum
             F.lit("no vector_size and no model_name"),
         )
         .when(size.isNull(), F.lit("unknown model and no explicit vector_size"))
+        .when(
+            ~F.coalesce(name.rlike(rf"\A{NAME_PATTERN}\z"), F.lit(False)),
+            F.lit("this cannot name a collection"),
+        )
     )
 
 
@@ -59,7 +68,7 @@ def plan_creation(requests: DataFrame, registered: DataFrame) -> DataFrame:
         size.alias("vector_size"),
         "distance",
         "model_name",
-        request_problem(F.col("distance"), size, F.col("model_name")).alias("problem"),
+        request_problem(F.col("name"), F.col("distance"), size, F.col("model_name")).alias("problem"),
     )
     firsts = (
         checked.filter(F.col("problem").isNull())

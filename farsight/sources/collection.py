@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ class Collection:
     """Points with one text and one vector each, compared by one metric.
 
     `points` has id, text and embedding, and may have tokens (the text index). Where it is stored
-    by shard, `shard_digits` says how, and the texts of hits are read from their shards only.
+    by shard, `shard_digits` says how and `layers` are its parts, later ones over earlier ones; the
+    texts of hits are then read from their shards in each part only.
     """
 
     name: str
@@ -31,6 +33,7 @@ class Collection:
     distance: str = "Cosine"
     model_name: str | None = None
     shard_digits: int = 0
+    layers: tuple[DataFrame, ...] = ()
 
     def __post_init__(self) -> None:
         check_metric(self.distance)
@@ -68,15 +71,25 @@ class Collection:
         `few` says that the hits are known to be few enough to be sent to every task; otherwise
         Spark chooses the join from their actual size.
         """
-        texts = self.points.select(
-            "id", "text", *(["shard"] if self.shard_digits else [])
+        if not self.shard_digits:
+            return self.points.select("id", "text").join(F.broadcast(hits) if few else hits, "id")
+        # Spark prunes partitions by a join only if the other side is filtered by something, and
+        # does not see that a top-k is selective; hence a filter that keeps every hit.
+        placed = hits.withColumn("shard", shard_of(point_id(F.col("id")), self.shard_digits))
+        placed = placed.filter(F.col("shard") >= "")
+        side = F.broadcast(placed) if few else placed
+        found = [
+            layer.select("id", "shard", "text")
+            .join(side, ["id", "shard"])
+            .select(*hits.columns, F.lit(age).alias("age"), "text")
+            for age, layer in enumerate(self.layers or (self.points,))
+        ]
+        if len(found) == 1:
+            return found[0].drop("age")
+        # A hit is a current point, so the latest text found for it is its text.
+        return (
+            reduce(DataFrame.unionByName, found)
+            .groupBy(*hits.columns)
+            .agg(F.max(F.struct("age", "text")).alias("latest"))
+            .select(*hits.columns, "latest.text")
         )
-        keys = ["id"]
-        if self.shard_digits:
-            # Spark prunes partitions by a join only if the other side is filtered by something,
-            # and does not see that a top-k is selective; hence a filter that keeps every hit.
-            hits = hits.withColumn(
-                "shard", shard_of(point_id(F.col("id")), self.shard_digits)
-            ).filter(F.col("shard") >= "")
-            keys.append("shard")
-        return texts.join(F.broadcast(hits) if few else hits, keys).drop("shard")

@@ -22,7 +22,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.distance import check_metric
 from ..operators.catalog import list_tables
-from ..operators.creation import MODEL_DIMENSIONS, plan_creation
+from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
 from ..operators.upsert import keep_last, overlay
 from .collection import Collection
 
@@ -120,7 +120,7 @@ class CollectionStore:
     ) -> str:
         """Create one collection: 'created: name', or 'exists: name' and nothing is changed."""
         check_metric(distance)
-        if not re.fullmatch(r"[\w.-]+", name):
+        if not re.fullmatch(NAME_PATTERN, name):
             raise ValueError(f"{name!r} cannot name a collection")
         if vector_size is None and not model_name:
             raise ValueError(
@@ -233,4 +233,5 @@ class CollectionStore:
             entry["distance"],
             entry["model_name"],
             entry["shard_digits"],
+            tuple(self._segment(entry, segment) for segment in entry["segments"]),
         )

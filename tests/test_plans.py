@@ -1,7 +1,9 @@
 """What the plans must and must not contain."""
 
+import dataclasses
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def stored(spark):
 
 
 def test_legs_are_cut_before_each_shuffle(spark, stored):
-    block = R.QueryBlock(["q"], __import__("numpy").ones((1, 16)), [["word"]])
+    block = R.QueryBlock(["q"], np.ones((1, 16)), [["word"]])
     limits = R.LegLimits(10)
     candidates = R.candidates_broadcast(stored.points, block, "Cosine", limits)
     text = plan(R.rank_legs(candidates, "Cosine", limits))
@@ -40,7 +42,7 @@ def test_legs_are_cut_before_each_shuffle(spark, stored):
 
 
 def test_ranking_reads_no_text_and_scans_once(spark, stored):
-    block = R.QueryBlock(["q"], __import__("numpy").ones((1, 16)), [["word"]])
+    block = R.QueryBlock(["q"], np.ones((1, 16)), [["word"]])
     candidates = R.candidates_broadcast(stored.points, block, "Cosine", R.LegLimits(10))
     scans = re.findall(r"ReadSchema: struct<([^>]*>[^>]*)>", plan(candidates))
     assert plan(candidates).count("FileScan") == 1
@@ -59,6 +61,15 @@ def test_texts_come_from_the_shards_of_the_hits(spark, stored):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_each_layer_is_pruned(spark, stored):
+    layered = dataclasses.replace(stored, layers=stored.layers * 3)
+    found = S.search(layered, "the word", 5, query_vector=[1.0] * 16)
+    assert plan(found).count("dynamicpruning") >= 3
+    assert found.collect() == S.search(stored, "the word", 5, query_vector=[1.0] * 16).collect()
+    # The ranking is done once, not once per layer.
+    assert plan(found).count("ReusedExchange") >= 2
+
+
 def test_keep_last_combines_before_the_shuffle(spark):
     rows = spark.range(10).select(F.lit("k").alias("id"), F.col("id").alias("seq"), F.lit("t").alias("t"))
     text = plan(keep_last(rows.repartition(3), "id"))

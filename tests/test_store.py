@@ -1,5 +1,3 @@
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +64,12 @@ def test_create_refused(store, settings, message):
     assert store.registry().count() == 0
 
 
+@pytest.mark.parametrize("name", ["", "..", "a/b", ".hidden"])
+def test_names_are_folders(store, name):
+    with pytest.raises(ValueError, match="cannot name"):
+        store.create(name, 4)
+
+
 def test_names_differing_by_case_only(store):
     store.create("docs", 4)
     with pytest.raises(ValueError, match="case"):
@@ -82,6 +86,8 @@ def test_create_many(spark, store):
             (4, "bad", 5, "L2_norm", ""),
             (5, "bad", None, "Dot", None),
             (6, "NEW", 5, "Dot", ""),
+            (7, "../new", 5, "Dot", ""),
+            (8, None, 5, "Dot", ""),
         ],
         "seq long, name string, vector_size int, distance string, model_name string",
     )
@@ -93,6 +99,8 @@ def test_create_many(spark, store):
         4: "error: invalid distance",
         5: "error: no vector_size and no model_name",
         6: "error: name differs only by case",
+        7: "error: this cannot name a collection",
+        8: "error: this cannot name a collection",
     }
     sizes = {r["name"]: r["vector_size"] for r in store.registry().collect()}
     assert sizes == {"old": 4, "new": 768}
@@ -255,6 +263,7 @@ def test_search_in_a_stored_collection(spark, store, shard_digits):
     }
     load(store, rows(spark, *texts.items()), "kb")
     load(store, rows(spark, ("tech-001", "The app is very slow")), "kb")
+    load(store, rows(spark, ("bill-003", "Paying by card")), "kb")
     hits = S.search(
         store.collection("KB"), "how do I reset my password", 3, embedder=HashEmbedder(DIM)
     ).collect()
@@ -263,6 +272,12 @@ def test_search_in_a_stored_collection(spark, store, shard_digits):
     assert hits[0]["SCORE"] >= hits[1]["SCORE"] >= hits[2]["SCORE"]
     slow = S.search(store.collection("kb"), "slow", 1, embedder=HashEmbedder(DIM)).first()
     assert slow["TEXT"] == "The app is very slow"
+    queries = spark.createDataFrame([(1, "slow"), (2, "card")], "query_id int, query string")
+    best = S.search_many(store.collection("kb"), queries, 1, embedder=HashEmbedder(DIM)).collect()
+    assert {(r["query_id"], r["ID"], r["TEXT"]) for r in best} == {
+        (1, "tech-001", "The app is very slow"),
+        (2, "bill-003", "Paying by card"),
+    }
 
 
 def test_health(spark, store):
