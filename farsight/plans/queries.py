@@ -410,12 +410,13 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     store = _store(spark)
     store.create("streamed", DIM)
     arriving = fresh_folder(spark, "arriving")
-    documents, labelled = _documents_and_labelled(spark, folder)
-    for delivery in (documents, labelled):
-        # Rows of one id share a file: files of one delivery may be taken in any order.
-        delivery.repartition(3, "id").write.mode("append").parquet(arriving)
+    for number, delivery in enumerate(_documents_and_labelled(spark, folder)):
+        # Rows of one id share a file: files of one delivery may be taken in any order. A batch may
+        # hold files of both deliveries, so a row says which one it came with.
+        numbered = delivery.withColumn("delivery", F.lit(number))
+        numbered.repartition(3, "id").write.mode("append").parquet(arriving)
     source = (
-        spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+        spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
     )
     stream = ingest_stream(
         store,
@@ -423,7 +424,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
         source,
         HashEmbedder(DIM),
         fresh_folder(spark, "checkpoint"),
-        seq_col="seq",
+        seq_col=F.struct("delivery", "seq"),
         compact_every=2,
     )
     stream.awaitTermination()
