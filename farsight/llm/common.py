@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farsight.session import fresh_folder
+from farsight.session import fresh_folder, shared_folder
 
 #: A join side is broadcast up to this many bytes, measured; beyond, both sides are shuffled.
 MAX_BROADCAST_BYTES = 32 << 20
@@ -28,6 +28,14 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows as checkpointed in the shared folder: for small tables within a loop, dropped when no longer used."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def keyed(docs: DataFrame, id_col: str, row: str) -> DataFrame:
     """Adds `row`, a value that no two rows share and that is the same at each evaluation.
 

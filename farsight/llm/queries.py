@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm import exact, language, mixing, prefix_tokens, toxicity
+from farsight.llm import decontam, exact, language, mixing, near_dups, prefix_tokens, toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return near_dups.near_groups(_read(spark, folder, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents mixed to source weights 3, 1, 2 at 150 % of all words, at most twice each source."""
     mixed = mixing.mix(_read(spark, folder, "documents"))
@@ -41,6 +46,11 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_read(spark, folder, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return decontam.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of whole documents, and whether they are over 1,024."""
     return prefix_tokens.token_counts(_read(spark, folder, "documents"))
@@ -56,8 +66,10 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_near_dedup": op3_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
 }
