@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from farsight.llm.common import cut
+from farsight.llm.common import broadcast_if_small, cut
 
 #: From the second round on, so many members of a bucket are compared with the rest of it at once, at first and at most.
 HUBS, MOST_HUBS = 8, 64
@@ -53,7 +53,8 @@ def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame])
     lie in one group are done. Copies of one text thus cost one pair each. A bucket is never gathered in a task.
     """
     ends = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    live = cut(members.join(ends.filter("hub < last").select("bucket", "hub"), "bucket"))
+    ends = broadcast_if_small(cut(ends.filter("hub < last").select("bucket", "hub")), 24)
+    live = cut(members.join(ends, "bucket"))
     pairs = live.filter("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     live = live.filter("node > hub").select("bucket", "node")
     tried, links, hubs = [], [], HUBS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm import decontam, exact, language, mixing, near_dups, prefix_tokens, toxicity
+from farsight.llm import decontam, exact, language, lines, mixing, near_dups, prefix_tokens, toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_groups(_read(spark, folder, "documents")).select("doc_id", "class_id", "kept")
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the lines that came before, nearly or exactly."""
+    return lines.dedup_lines(_read(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents mixed to source weights 3, 1, 2 at 150 % of all words, at most twice each source."""
     mixed = mixing.mix(_read(spark, folder, "documents"))
@@ -67,6 +72,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_decontamination": op7_decontamination,
