@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm import decontam, exact, language, lines, mixing, near_dups, prefix_tokens, toxicity
+from farsight.llm import decontam, exact, language, licenses, lines, mixing, near_dups, prefix_tokens, toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in documents."""
+    return licenses.scan_licenses(_read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
@@ -78,6 +83,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
+    "op10_license_scan": op10_license_scan,
 }
 
 _MIX_SQL = r"""
@@ -121,4 +127,22 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE_SQL = {"op5_mixing": _MIX_SQL, "op6_exact_dedup": _EXACT_SQL}
+_quoted = lambda text: "'" + text.replace("'", "''") + "'"
+_LICENSE_SQL = rf"""
+WITH templates(license, text) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licenses.TEMPLATES.items())}),
+texts AS (
+  SELECT license, NULL AS doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+') AS words FROM templates
+  UNION ALL
+  SELECT NULL, doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+') FROM documents),
+shingles AS (
+  SELECT DISTINCT license, doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT license, doc_id, words, unnest(range(1, len(words) - 3)) AS i
+        FROM (SELECT license, doc_id, CASE WHEN license IS NULL THEN words ELSE list_filter(words, lambda w: w <> '') END AS words
+              FROM texts))),
+sought AS (SELECT license, shingle, count(*) OVER (PARTITION BY license) AS n FROM shingles WHERE license IS NOT NULL)
+SELECT d.doc_id, s.license, count(*)::DOUBLE / s.n AS containment, count(*)::INTEGER AS shingles
+FROM sought s JOIN shingles d ON d.license IS NULL AND d.shingle = s.shingle
+GROUP BY d.doc_id, s.license, s.n HAVING count(*)::DOUBLE / s.n >= 0.8
+"""
+
+ORACLE_SQL = {"op10_license_scan": _LICENSE_SQL, "op5_mixing": _MIX_SQL, "op6_exact_dedup": _EXACT_SQL}
