@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm import decontam, exact, language, licenses, lines, mixing, near_dups, prefix_tokens, toxicity
+from farsight.llm import decontam, exact, language, licenses, lines, lm, mixing, near_dups, prefix_tokens, toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents under a model of those outside the held-out fold, and under a unigram model."""
+    return lm.score_texts(_read(spark, folder, "documents"), _fold("doc_id", 7) == 2)
+
+
 def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     return near_dups.near_groups(_read(spark, folder, "documents")).select("doc_id", "class_id", "kept")
@@ -76,6 +81,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_lm_scores": op2_lm_scores,
     "op3_near_dedup": op3_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,

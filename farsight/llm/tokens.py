@@ -39,6 +39,7 @@ class Words:
 
     hashes: np.ndarray
     first: np.ndarray  # of text i: words first[i] to first[i + 1]
+    endings: np.ndarray | None = None  # a number of each word's last three bytes, if asked for
 
     @property
     def counts(self) -> np.ndarray:
@@ -57,11 +58,11 @@ def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         at = stop
 
 
-def words_of(texts: pa.Array) -> Words:
+def words_of(texts: pa.Array, endings: bool = False) -> Words:
     """Words are runs without ASCII white space; null texts have none."""
     texts = pa.concat_arrays([texts.fill_null("").cast(pa.large_string())])
     if not len(texts):
-        return Words(np.zeros(0, np.uint64), np.zeros(1, np.int64))
+        return Words(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32) if endings else None)
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     base = int(ends[0])
     size = int(ends[-1]) - base
@@ -74,7 +75,18 @@ def words_of(texts: pa.Array) -> Words:
     begins[borders] = inside[borders]
     starts = np.flatnonzero(begins)
     first = np.searchsorted(starts, ends, side="left")
-    return Words(_hashed(data, starts), first)
+    return Words(_hashed(data, starts), first, _endings(data, inside, begins, starts) if endings else None)
+
+
+def _endings(data: np.ndarray, inside: np.ndarray, begins: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    over = inside.copy()
+    over[:-1] &= ~inside[1:] | begins[1:]
+    last = np.flatnonzero(over)
+    out = _LOWER[data[last]].astype(np.uint32)
+    for back in (1, 2):
+        at = last - back
+        out = out * np.uint32(256) + np.where(at >= starts, _LOWER[data[np.maximum(at, 0)]], 0)
+    return out
 
 
 def _hashed(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
