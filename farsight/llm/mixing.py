@@ -126,7 +126,7 @@ def mix(
     plan = saved(
         targets.alias("l")
         .join(limits.alias("r"), same("r"), "left")
-        .select("l.*", F.coalesce("r.limit", F.when(F.col("need") > 0, 1 << 24).otherwise(0)).alias("limit")),
+        .select("l.*", F.when(F.col("need") > 0, F.coalesce("r.limit", F.lit(1 << 24))).otherwise(0).alias("limit")),
         "mix-plan",
     )
     copies = F.col("t.whole") + F.when(F.col("l.__draw") < F.col("t.limit"), 1).otherwise(0)

@@ -119,7 +119,7 @@ edges AS (
          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw) - d.size AS before
   FROM draws d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 limits AS (
-  SELECT source, coalesce(max(draw) FILTER (before + size - need <= need - before), -1) AS last
+  SELECT source, coalesce(max(draw) FILTER (need > 0 AND before + size - need <= need - before), -1) AS last
   FROM edges GROUP BY source)
 SELECT s.doc_id, s.size, t.source_size, t.target,
        (s.size * (t.whole + CASE WHEN s.draw <= l.last THEN 1 ELSE 0 END))::BIGINT AS taken
