@@ -104,7 +104,7 @@ class ItemIndex:
             above = np.empty((_SPAN // step, BITS), bool)
             for size, (prints, near, entries) in self.by_size.items():
                 if size == 1:
-                    windows = words[lo : lo + _SPAN : step]
+                    windows = np.ascontiguousarray(words[lo : lo + _SPAN : step])
                 else:
                     ends = parts[(size - 1) % step][(size - 1) // step :][: _SPAN // step]
                     if not len(ends):
