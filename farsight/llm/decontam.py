@@ -19,7 +19,8 @@ from farsight.llm.tokens import GOLDEN, SHINGLE, Words, mixed, pieces, words_of
 
 #: Bits of a fingerprint, in so many blocks; every fingerprint within RADIUS has a block within RADIUS // BLOCKS.
 BITS, BLOCKS, RADIUS, THRESHOLD = 64, 4, 11, 0.8
-#: Windows begin at each STRIDE-th word; items are indexed without their first 0 .. STRIDE - 1 words, so none is passed over.
+#: Windows begin at each STRIDE-th word; items are indexed without their first 0 .. STRIDE - 1 words, so none is passed
+#: over. For items of fewer than 2 * STRIDE words windows begin at every word.
 STRIDE = 4
 #: Words of the items that are sought at once; more items take more passes over the documents.
 ITEM_WORDS = 200_000
@@ -75,8 +76,9 @@ class ItemIndex:
         self.shingles = [window_shingles(own) for _, own in self.items]
         sizes = defaultdict(list)
         for at, (_, own) in enumerate(self.items):
-            for skipped in range(min(stride, len(own))):
-                sizes[len(own) - skipped].append((fingerprint(own[skipped:]), at, skipped))
+            step = stride if len(own) >= 2 * stride else 1
+            for skipped in range(step):
+                sizes[len(own) - skipped, step].append((fingerprint(own[skipped:]), at, skipped))
         self.by_size = {}
         for size, entries in sorted(sizes.items()):
             prints = np.array([entry[0] for entry in entries], np.uint64)
@@ -91,25 +93,24 @@ class ItemIndex:
         found: set[tuple[int, int]] = set()
         if not self.by_size:
             return found
-        longest = max(self.by_size)
+        longest = max(size for size, _ in self.by_size)
         pairs = _pairs(words) if len(words) > 1 else np.zeros(0, np.uint64)
         kind = np.int16 if longest + _SPAN < 1 << 15 else np.int32
-        step = self.stride
         flags = np.array([1 << block for block in range(BLOCKS)], np.uint8)
         for lo in range(0, len(words), _SPAN):
             sums = np.zeros((max(min(len(pairs) - lo, _SPAN + longest), 0) + 1, BITS), kind)
             if len(sums) > 1:
                 sums[1:] = _running(_signs(pairs[lo : lo + len(sums) - 1], kind))
-            parts = [np.ascontiguousarray(sums[k::step]) for k in range(step)]
-            above = np.empty((_SPAN // step, BITS), bool)
-            for size, (prints, near, entries) in self.by_size.items():
+            parts = {step: [np.ascontiguousarray(sums[k::step]) for k in range(step)] for step in {s for _, s in self.by_size}}
+            above = np.empty((_SPAN, BITS), bool)
+            for (size, step), (prints, near, entries) in self.by_size.items():
                 if size == 1:
                     windows = np.ascontiguousarray(words[lo : lo + _SPAN : step])
                 else:
-                    ends = parts[(size - 1) % step][(size - 1) // step :][: _SPAN // step]
+                    ends = parts[step][(size - 1) % step][(size - 1) // step :][: _SPAN // step]
                     if not len(ends):
                         continue
-                    np.greater(ends, parts[0][: len(ends)], out=above[: len(ends)])
+                    np.greater(ends, parts[step][0][: len(ends)], out=above[: len(ends)])
                     windows = np.packbits(above[: len(ends)]).view(np.uint64)
                 blocks = windows.view(np.uint16).reshape(-1, BLOCKS)
                 at = np.flatnonzero((near.take(blocks) & flags).view(np.uint32))
@@ -118,7 +119,7 @@ class ItemIndex:
                 apart = np.bitwise_count(windows[at, None] ^ prints[None, :])
                 for row, entry in zip(*np.nonzero(apart <= self.radius)):
                     item, skipped = entries[entry]
-                    found.add((lo + int(at[row]) * self.stride - skipped, item))
+                    found.add((lo + int(at[row]) * step - skipped, item))
         return found
 
 

@@ -320,6 +320,7 @@ def test_lm_is_a_distribution():
 
     rng = np.random.default_rng(2)
     model = lm.Model(rng.integers(0, lm.CLUSTERS, lm.ENDINGS), np.zeros(lm.CLASSES), rng.normal(size=(lm.FEATURE_ROWS, lm.CLASSES)).astype(np.float32))
-    types = rng.integers(0, 1 << 15, 500).astype(np.uint16)
+    types = (rng.integers(0, lm.ENDINGS, 500) * 16 + rng.integers(0, 10, 500)).astype(np.uint16)
+    types[::3] = 32768 + rng.integers(0, lm.HEADS, len(types[::3]))
     logs = model.log_probabilities(model.features(types, np.arange(500) % 50 == 0))
     assert np.allclose(np.exp(logs.astype(np.float64)).sum(axis=1), 1, atol=1e-4)
