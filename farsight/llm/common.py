@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farsight.session import fresh_folder, shared_folder
 
 #: A join side is broadcast up to this many bytes, measured; beyond, both sides are shuffled.
-MAX_BROADCAST_BYTES = 32 << 20
+MAX_BROADCAST_BYTES = 16 << 20
 
 
 def fresh_name(wanted: str, taken: Iterable[str]) -> str:
@@ -78,6 +78,12 @@ def ranked(df: DataFrame, order: Column, rank: str) -> DataFrame:
     return joined.select(*df.columns, (F.col(rank) + F.col(place)).alias(rank))
 
 
+def made_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Adds costly columns so that each is worked out once a row: they come out of a generator, into which the optimizer
+    copies neither what later filters and projections ask of them nor, being an outer one, a filter of its own."""
+    return df.select("*", F.inline_outer(F.array(F.struct(*columns))))
+
+
 def text_size(text: Column) -> Column:
     """Number of words (runs without ASCII white space); 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from farsight.llm.common import broadcast_if_small, cut
 
-#: From the second round on, so many members of a bucket are compared with the rest of it at once, at first and at most.
-HUBS, MOST_HUBS = 8, 64
+#: How many members of a bucket are compared with the rest of it in the first rounds, and in all later ones.
+HUBS = (1, 8, 1024)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,67 +21,73 @@ def components(links: DataFrame) -> DataFrame:
     then its smaller ones. Both need the smallest neighbour only, which is found within map tasks first; a node with very many
     neighbours is a skewed join key, which Spark splits.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
-    edges = cut(edges)
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
     state = None
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        small = large.join(least, "u").select(
+            F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")
+        )
+        edges = cut(small.distinct())
         seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == state:
             break
         state = seen
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
-        roots.select("node", F.col("node").alias("root"))
-    )
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
+    return cut(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots).distinct())
 
 
-def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(
+    members: DataFrame,
+    may_link: Callable[[str, str], Column],
+    verify: Callable[[DataFrame], DataFrame],
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
+    must_link: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """(node, root) of all nodes that links connect; nodes are long, root is the smallest of its group.
 
-    `members` (bucket, node) says which nodes may be linked: those that share a bucket. `verify` takes pairs (a, b) and
-    returns those that are links. The groups are those that comparing all pairs of every bucket would give, but pairs
-    that can no longer join two groups are not made: in each round some members of a bucket (its smallest nodes, at
-    first one) are compared with all its other members outside their group, and then leave the bucket; buckets that
-    lie in one group are done. Copies of one text thus cost one pair each. A bucket is never gathered in a task.
+    `members` (bucket, node, ...) says which nodes may be linked: those that share a bucket and for which `may_link`,
+    given two aliases of such rows, holds; it is checked inside the join. `verify` takes the pairs (a, b) left and returns those that are
+    links. The groups are those that comparing all pairs of every bucket would give, but pairs that can no longer join
+    two groups are not made: in each round some members of a bucket (its smallest nodes, at first one) are compared with all
+    its other members outside their group, and then leave the bucket; a bucket that lies in one group is done. So the near copies
+    of one text cost a pair each. A bucket is never gathered in a task: its rows are one side of a join.
+
+    After the first round `enrich`, if given, adds columns to the few rows (bucket, node, root, ...) left before they are joined, and
+    `must_link` is also asked in the join: with what those columns hold it can decide about a pair before it becomes a
+    row. What it adds is not kept from round to round. All later rows are among those of its first call.
     """
-    ends = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    ends = broadcast_if_small(cut(ends.filter("hub < last").select("bucket", "hub")), 24)
-    live = cut(members.join(ends, "bucket"))
-    pairs = live.filter("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    live = live.filter("node > hub").select("bucket", "node")
-    tried, links, hubs = [], [], HUBS
+    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    ends = broadcast_if_small(cut(ends.filter("low < high").select("bucket")), 16)
+    live = cut(members.join(ends, "bucket").withColumn("root", F.col("node")))
+    found, tried, turn = None, None, 0
     while True:
-        pairs = cut(pairs)
-        tried.append(pairs)
-        links.append(cut(verify(pairs).select("a", "b")))
-        found = cut(components(reduce(DataFrame.unionAll, links)))
-        grouped = live.join(found, "node", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root")
+        hubs = HUBS[min(turn, len(HUBS) - 1)]
+        place = F.row_number().over(W.partitionBy("bucket").orderBy("node"))
+        chosen = cut(live.withColumn("place", place).filter(F.col("place") <= hubs).drop("place"))
+        allowed = may_link("l", "h") if not turn or must_link is None else may_link("l", "h") & must_link("l", "h")
+        same = (F.col("l.bucket") == F.col("h.bucket")) & (F.col("l.node") > F.col("h.node"))
+        left, right = (live, chosen) if not turn or enrich is None else (enrich(live), enrich(chosen))
+        pairs = left.alias("l").join(
+            right.alias("h"), same & (F.col("l.root") != F.col("h.root")) & allowed
         )
+        pairs = pairs.select(F.col("h.node").alias("a"), F.col("l.node").alias("b")).distinct()
+        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        links = verify(pairs).select("a", "b")
+        if found is not None:
+            links = links.unionAll(found.select(F.col("root").alias("a"), F.col("node").alias("b")))
+        found = components(links)
+        rest = live.drop("root").join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        grouped = rest.join(broadcast_if_small(found, 24), "node", "left").select(
+            *rest.columns, F.coalesce("root", "node").alias("root")
+        )
+        grouped = cut(grouped)
         mixed = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         live = cut(grouped.join(mixed.filter("low < high").select("bucket"), "bucket", "left_semi"))
         if live.isEmpty():
             return found
-        place = F.row_number().over(W.partitionBy("bucket").orderBy("node"))
-        chosen = cut(live.withColumn("place", place).filter(F.col("place") <= hubs))
-        pairs = (
-            live.alias("l")
-            .join(
-                chosen.alias("h"),
-                (F.col("l.bucket") == F.col("h.bucket"))
-                & (F.col("l.node") > F.col("h.node"))
-                & (F.col("l.root") != F.col("h.root")),
-            )
-            .select(F.col("h.node").alias("a"), F.col("l.node").alias("b"))
-            .distinct()
-        )
-        pairs = pairs.join(reduce(DataFrame.unionAll, tried), ["a", "b"], "left_anti")
-        live = live.join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node")
-        hubs = min(2 * hubs, MOST_HUBS)
+        turn += 1

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farsight.llm.common import broadcast_if_small, cut, fresh_name, keyed, saved
@@ -15,6 +15,7 @@ from farsight.llm.tokens import SHINGLE, counted, mixed, overlap, pieces, shingl
 
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** 5) ** 25 = 5e-5.
 BANDS, ROWS, THRESHOLD = 25, 5, 0.8
+SKETCH_BITS = 128
 
 _U = np.uint64
 _STEP, _LEVEL, _BAND = _U(0x9E3779B97F4A7C15), _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7)
@@ -77,23 +78,65 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def bit_sketch(signature: np.ndarray) -> np.ndarray:
+    """One bit of each of the first SKETCH_BITS places, as two 64-bit numbers."""
+    bits = np.zeros((len(signature), SKETCH_BITS), bool)
+    some = signature[:, :SKETCH_BITS]
+    bits[:, : some.shape[1]] = (mixed(np.ascontiguousarray(some).view(_U)) >> _U(63)).astype(bool)
+    return np.packbits(bits, axis=1).view(np.int64).reshape(len(signature), 2)
+
+
+def most_apart(places: int, threshold: float) -> int:
+    """Bits in which sketches of a pair at the threshold differ at most, but for one pair in some ten million.
+
+    Each place differs with probability (1 - threshold) / 2; five standard deviations above the mean.
+    """
+    share = (1 - threshold) / 2
+    return int(places * share + 5 * (places * share * (1 - share)) ** 0.5) + 1
+
+
 def signatures(rows: DataFrame, bands: int = BANDS, rows_per_band: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
-    """(row, key, bands) for `rows` (row, key, text); bands is empty for a text without a word."""
+    """(row, key, bands, size, bits1, bits2) for `rows` (row, key, text); bands is empty for a text without a word.
+
+    size is the number of shingles; the bits are one of each of the signature's first 128 places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 2):
                 words = words_of(piece.column(2))
-                signature = bag_minhash(*counted(*shingles_of(words, shingle)), piece.num_rows, bands * rows_per_band)
+                text, hashes = shingles_of(words, shingle)
+                signature = bag_minhash(*counted(text, hashes), piece.num_rows, bands * rows_per_band)
+                sizes = np.bincount(text, minlength=piece.num_rows)
                 some = words.counts > 0
                 keys = band_keys(signature[some], bands, rows_per_band)
                 ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1)))
+                sketch = bit_sketch(signature)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), piece.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1)))],
-                    names=["row", "key", "bands"],
+                    [piece.column(0), piece.column(1), lists, pa.array(sizes), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])],
+                    names=["row", "key", "bands", "size", "bits1", "bits2"],
                 )
 
-    return rows.mapInArrow(run, "row long, key string, bands array<long>")
+    return rows.mapInArrow(run, "row long, key string, bands array<long>, size long, bits1 long, bits2 long")
+
+
+def _elements(texts: DataFrame) -> DataFrame:
+    """(node, elements) of (row, text): each shingle, the k-th time that it occurs, as a number of 32 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, 1):
+                text, hashes, times = counted(*shingles_of(words_of(piece.column(1))))
+                of = np.repeat(np.arange(len(text)), times)
+                nth = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+                with np.errstate(over="ignore"):
+                    numbers = (mixed(hashes[of] + nth.astype(_U) * _LEVEL) >> _U(32)).astype(np.uint32).view(np.int32)
+                ends = np.searchsorted(text[of], np.arange(piece.num_rows + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers))
+                yield pa.RecordBatch.from_arrays([piece.column(0), lists], names=["node", "elements"])
+
+    return texts.select("row", "text").mapInArrow(run, "node long, elements array<int>")
 
 
 def _alike(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -116,7 +159,7 @@ def near_groups(
     bands: int = BANDS,
     rows_per_band: int = ROWS,
 ) -> DataFrame:
-    """One row per row of `docs`: id, row, class_id, kept.
+    """One row per row of `docs`: id, class_id, kept.
 
     Texts are multisets of five-word shingles (A-Z in lower case; a shorter text is one shingle). Two texts are linked
     if the sum of the smaller counts over the sum of the larger ones is at least `threshold`; classes are the connected
@@ -131,20 +174,48 @@ def near_groups(
     keyed_rows = rows.select("row", F.md5(F.col("text").cast("binary")).alias("key"), "text")
     marked = saved(signatures(keyed_rows.filter("text IS NOT NULL"), bands, rows_per_band), "signatures")
     first = saved(
-        marked.groupBy("key").agg(F.min(F.struct("row", "bands")).alias("one")).select("key", "one.row", "one.bands"),
+        marked.groupBy("key").agg(F.min(F.struct("row", "bands", "size", "bits1", "bits2")).alias("one")).select(
+            "key", "one.*"
+        ),
         "different-texts",
     )
-    members = first.select(F.explode("bands").alias("bucket"), F.col("row").alias("node"))
-    texts: list[DataFrame] = []
+    members = first.select(F.explode("bands").alias("bucket"), F.col("row").alias("node"), "size", "bits1", "bits2")
+    apart = most_apart(min(bands * rows_per_band, SKETCH_BITS), threshold)
+
+    def may_link(a: str, b: str) -> Column:
+        """Sizes and sketches allow the similarity."""
+        sizes = F.least(f"{a}.size", f"{b}.size") >= F.greatest(f"{a}.size", f"{b}.size") * (threshold - 1e-9)
+        bits = [F.bit_count(F.col(f"{a}.bits{k}").bitwiseXOR(F.col(f"{b}.bits{k}"))) for k in (1, 2)]
+        return sizes & (bits[0] + bits[1] <= apart)
+
+
+    shingles: list[DataFrame] = []
+
+    def enrich(live: DataFrame) -> DataFrame:
+        """Adds the bands before the bucket's own, so that a pair is made in the first bucket it shares, and the shingles."""
+        if not shingles:
+            nodes = broadcast_if_small(cut(live.select(F.col("node").alias("row")).distinct()), 16)
+            found = _elements(rows.select("row", "text").join(nodes, "row"))
+            bands_of = first.select(F.col("row").alias("node"), "bands").join(nodes.withColumnRenamed("row", "node"), "node")
+            table = saved(found.join(bands_of, "node"), "shingles")
+            shingles.append(broadcast_if_small(table, 4 * F.size("elements") + 8 * F.size("bands") + 64))
+        before = F.slice("bands", 1, F.array_position("bands", F.col("bucket")).cast("int") - 1)
+        return live.join(shingles[0], "node").select(*live.columns, before.alias("before"), "elements")
+
+    def must_link(a: str, b: str) -> Column:
+        """No earlier bucket is shared, and the shingle sets overlap enough (as numbers of 32 bits, hence hardly less than
+        they do; `verify` follows)."""
+        both = F.size(F.array_intersect(f"{a}.elements", f"{b}.elements")) * (1 + 1 / threshold)
+        enough = both >= F.size(f"{a}.elements") + F.size(f"{b}.elements") - 1e-6
+        return ~F.arrays_overlap(f"{a}.before", f"{b}.before") & enough
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        if not texts:  # those of the first round hold all later ones
-            texts.append(saved(rows.select("row", "text").join(broadcast_if_small(cut(ends), 16), "row"), "linked-texts"))
-        a, b = (texts[0].select(F.col("row").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-        return _alike(pairs.join(b, "b").join(a, "a"), threshold)
+        ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+        texts = saved(rows.select("row", "text").join(broadcast_if_small(ends, 16), "row"), "linked-texts")
+        a, b = (texts.select(F.col("row").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
+        return cut(_alike(pairs.join(b, "b").join(a, "a"), threshold))
 
-    roots = linked_groups(members, verify)
+    roots = linked_groups(members, may_link, verify, enrich, must_link)
     classes = saved(
         first.select("key", "row").join(roots, first["row"] == roots["node"]).select("key", "root"), "classes"
     )
@@ -155,7 +226,6 @@ def near_groups(
     # the root is the least row of the class, as every row met first for its text is the least of that text
     return rows.select("id", "row").join(found, "row", "left").select(
         F.col("id").alias(id_col),
-        "row",
         F.coalesce("class_id", "row").alias("class_id"),
         (F.coalesce("class_id", "row") == F.col("row")).alias("kept"),
     )
