@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.common import broadcast_if_small, keyed, saved
+from farsight.llm.common import broadcast_if_small, keyed, made_once, saved
 
 #: Words in a shingle, shingles in a window (a window begins at every word), and the share of shingles to be found.
 SHINGLE, WINDOW, CONTAINMENT = 5, 3, 0.8
@@ -56,18 +56,15 @@ def _words(text: Column) -> Column:
 
 
 def _windows(rows: DataFrame) -> DataFrame:
-    """`rows` (key, words) by window: key and s0, s1, ..., the hashes of its shingles (null after the last of the text).
-
-    The hashes come out of a generator, so that they are made once a window, whatever is later asked of them.
-    """
-    places = rows.select("key", "words", F.posexplode("words").alias("at", "word"))
+    """`rows` (key, words) by window: key and s0, s1, ..., the hashes of its shingles (null after the last of the text)."""
+    places = rows.select("key", "words", F.posexplode_outer("words").alias("at", "word"))
     names = [f"s{k}" for k in range(WINDOW)]
     hashes = []
     for k, name in enumerate(names):
         shingle = [F.get("words", F.col("at") + k + word) for word in range(SHINGLE)]
         full = F.col("at") + k + SHINGLE <= F.size("words")
         hashes.append(F.when(full, F.xxhash64(*shingle)).alias(name))
-    return places.filter(F.col("at") + SHINGLE <= F.size("words")).select("key", F.inline(F.array(F.struct(*hashes))))
+    return made_once(places.filter(F.col("at") + SHINGLE <= F.size("words")), *hashes).select("key", *names)
 
 
 def _min_hash(band: int) -> Column:
@@ -122,16 +119,17 @@ def scan_licenses(
     for _, band, value in signs.collect():
         values[band].append(value)
     rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "row")
-    windows = _windows(rows.select(F.col("row").alias("key"), _words(F.col("text")).alias("words")))
+    windows = _windows(made_once(rows, _words(F.col("text")).alias("words")).select(F.col("row").alias("key"), "words"))
     met = windows.filter(reduce(or_, [_min_hash(band).isin(values[band]) for band in range(BANDS)]))
     pairs = _bands(met).join(F.broadcast(signs.withColumnRenamed("key", "license")), ["band", "value"])
     pairs = saved(pairs.select(F.col("key").alias("row"), "license").distinct(), "license-candidates")
     found = rows.join(broadcast_if_small(pairs, 64), "row").join(
         F.broadcast(table.select(F.col("key").alias("license"), F.col("shingles").alias("sought"))), "license"
     )
-    there = F.size(F.array_intersect("sought", _shingles(_words(F.col("text")))))
+    there = F.size(F.array_intersect("sought", _shingles(F.col("words"))))
+    worded = made_once(made_once(found, _words(F.col("text")).alias("words")), there.alias("shingles"))
     return (
-        found.select(F.col("id").alias(id_col), "license", F.size("sought").alias("n"), there.alias("shingles"))
+        worded.select(F.col("id").alias(id_col), "license", F.size("sought").alias("n"), "shingles")
         .withColumn("containment", F.col("shingles") / F.col("n"))
         .filter(F.col("containment") >= containment)
         .select(id_col, "license", "containment", "shingles")
