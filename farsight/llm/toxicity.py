@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import functools
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farsight.llm.common import broadcast_if_small, saved
+from farsight.llm.common import saved
 
 #: Stems considered: whole words, and beginnings of so many letters.
 SHORTEST_STEM, LONGEST_STEM = 4, 9
@@ -188,6 +190,41 @@ def text_features(matcher: LexiconMatcher, text: str) -> list[float]:
     ]
 
 
+_words_of = regex.compile(r"\p{L}{3,}").findall
+
+
+def _terms(text: str) -> set[str]:
+    """A text's words, each with "$" after it, and their beginnings."""
+    words = set(_words_of(text.lower()))
+    beginnings = {word[:n] for word in words for n in range(SHORTEST_STEM, min(LONGEST_STEM, len(word)) + 1)}
+    return beginnings.union(word + "$" for word in words)
+
+
+def _term_counts(texts: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
+    """(term, n): how many texts hold each term (of `wanted` only, if given); summed within tasks, then by Spark."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                found = _terms(text.as_py())
+                counts.update(found if shared.value is None else found & shared.value)
+                if len(counts) > REMEMBERED:
+                    yield _counted(counts)
+                    counts.clear()
+        yield _counted(counts)
+
+    parts = texts.select("text").mapInArrow(run, "term string, n long")
+    return parts.groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def _counted(counts: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
+    )
+
+
 def learn_lexicon(labelled: DataFrame) -> tuple[Term, ...]:
     """Terms that tell toxic texts from others, of `labelled` (text, toxic: 0, 1 or null).
 
@@ -200,30 +237,11 @@ def learn_lexicon(labelled: DataFrame) -> tuple[Term, ...]:
     toxic, other = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not other:
         return tuple(Term(w, False, INSULT_WEIGHT) for w in INSULTS)
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    stems = F.transform(
-        F.sequence(F.lit(SHORTEST_STEM), F.lit(LONGEST_STEM)), lambda n: F.substring(F.col("word"), F.lit(1), n)
-    )
-    beginnings = F.when(F.length("word") >= SHORTEST_STEM, F.array_distinct(stems)).otherwise(F.array().cast("array<string>"))
-    terms = F.array_append(beginnings, F.concat(F.col("word"), F.lit("$")))
-
-    def spread(rows: DataFrame) -> DataFrame:
-        each = rows.select("at", F.explode(words).alias("word")).filter("length(word) >= 3")
-        return each.select("at", F.explode(terms).alias("term"))
-
     least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * toxic))
-    numbered = texts.withColumn("at", F.monotonically_increasing_id())
-    inside = spread(numbered.filter("toxic = 1")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("inside"))
-    frequent = inside.filter(F.col("inside") >= least)
-
-    frequent = broadcast_if_small(saved(frequent, "terms"), F.length("term") + 32)
-    outside = (
-        spread(numbered.filter("toxic = 0"))
-        .join(frequent.select("term"), "term", "left_semi")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("outside"))
-    )
+    inside = _term_counts(texts.filter("toxic = 1"), None).withColumnRenamed("n", "inside")
+    frequent = saved(inside.filter(F.col("inside") >= least), "terms")
+    known = frozenset(row[0] for row in frequent.select("term").toLocalIterator())
+    outside = _term_counts(texts.filter("toxic = 0"), known).withColumnRenamed("n", "outside")
     odds = (F.col("inside") + 0.5) / (F.coalesce("outside", F.lit(0)) + 0.5) * (other / toxic)
     rows = frequent.join(outside, "term", "left").filter(odds >= LEAST_ODDS)
     found = {row["term"]: (row["inside"], math.log(row["odds"])) for row in rows.select("term", "inside", odds.alias("odds")).collect()}
