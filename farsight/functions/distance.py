@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 # The metric names; True where a greater score is the better one.
 METRICS = {"Cosine": True, "Dot": True, "Euclid": False, "Manhattan": False}
 
-# Scores are rounded before they are ranked, so that copies tie whatever the order of summation.
-SCORE_DECIMALS = 6
+# Scores are equal if their first so many digits are, so that copies tie whatever the order of summation. The digits
+# count from the first that is not 0: small vectors are told apart as well as large ones.
+SCORE_DIGITS = 12
 
 
 def check_metric(metric: str) -> None:
@@ -61,6 +62,26 @@ def distance(metric: str, a: Column, b: Column) -> Column:
     return {"Cosine": cosine, "Dot": dot, "Euclid": euclid, "Manhattan": manhattan}[metric](a, b)
 
 
+def significant(scores: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
+    """Scores cut to their leading digits; NaN and infinities stay."""
+    usable = np.isfinite(scores) & (np.abs(scores) > 1e-280) & (np.abs(scores) < 1e280)
+    size = np.floor(np.log10(np.abs(scores), out=np.zeros_like(scores), where=usable))
+    scale = np.power(10.0, digits - 1 - size)
+    cut = np.divide(np.rint(scores * scale), scale, out=scores.copy(), where=usable)
+    return cut + 0.0  # + 0.0 turns -0.0 into 0.0
+
+
+def usable_rows(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Which vectors can be compared: those that are there, have `dim` elements and only finite ones."""
+    sizes = vectors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    usable = sizes == dim
+    flat = vectors.flatten()
+    values = flat.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(vectors)), np.maximum(sizes, 0))
+    usable[row[~np.isfinite(values)]] = False
+    return usable
+
+
 def to_matrix(vectors: pa.Array, dim: int) -> np.ndarray:
     """An Arrow list array as a (rows, dim) matrix of doubles."""
     if isinstance(vectors, pa.ChunkedArray):
@@ -75,7 +96,7 @@ def to_matrix(vectors: pa.Array, dim: int) -> np.ndarray:
 
 
 def score_matrix(metric: str, queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Rounded scores, one row per query, one column per point."""
+    """Scores of SCORE_DIGITS digits, one row per query, one column per point."""
     if metric in ("Cosine", "Dot"):
         scores = queries @ points.T
         if metric == "Cosine":
@@ -89,16 +110,27 @@ def score_matrix(metric: str, queries: np.ndarray, points: np.ndarray) -> np.nda
                 scores[row] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
             else:
                 scores[row] = np.abs(gap).sum(axis=1)
-    return np.round(scores, SCORE_DECIMALS) + 0.0  # + 0.0 turns -0.0 into 0.0
+    return significant(scores)
 
 
 def score_against(metric: str, embedding: Column, query_vector: list[float]) -> Column:
-    """The rounded score of each vector in a column against one query vector."""
+    """The score of each vector in a column against one query vector; NULL if they cannot be compared."""
     check_metric(metric)
     query = np.asarray([query_vector], dtype=np.float64)
 
     @F.arrow_udf("double")
     def score(vectors: pa.Array) -> pa.Array:
-        return pa.array(score_matrix(metric, query, to_matrix(vectors, query.shape[1]))[0])
+        return scores_against(metric, query, vectors)
 
     return score(embedding)
+
+
+def scores_against(metric: str, query: np.ndarray, vectors: pa.Array) -> pa.Array:
+    """Scores of vectors against one query, a matrix of one row; NULL for those that cannot be compared."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    usable = usable_rows(vectors, query.shape[1])
+    scores = np.zeros(len(vectors))
+    chosen = vectors.filter(pa.array(usable))
+    scores[usable] = score_matrix(metric, query, to_matrix(chosen, query.shape[1]))[0]
+    return pa.array(scores, mask=~usable)

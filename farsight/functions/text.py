@@ -46,13 +46,13 @@ def tokens_of_words(word_list: Column) -> Column:
     return F.coalesce(F.array_distinct(kept), F.array().cast("array<string>"))
 
 
-def text_for_embedding(text: Column, max_chars: int = MAX_CHARS) -> Column:
-    """The first `max_chars` characters: what the model sees. The stored text stays whole."""
-    return F.substring(text, 1, max_chars)
+def text_for_embedding(text: Column, max_chars: int | None = MAX_CHARS) -> Column:
+    """The first `max_chars` characters (None: all): what the model sees. The stored text stays whole."""
+    return text if max_chars is None else F.substring(text, 1, max_chars)
 
 
-def extract_keywords(text: Column, unicode: bool = False) -> Column:
-    """The keywords of a query, in order of appearance, at most twelve.
+def extract_keywords(text: Column, unicode: bool = False, most: int | None = MAX_KEYWORDS) -> Column:
+    """The keywords of a query, in order of appearance, at most `most` (by default twelve; None: all).
 
     A word counts if it has two characters or more, is no stop word and is new. Two counted words
     standing side by side also give their concatenation. By default only ASCII letters and digits
@@ -81,15 +81,12 @@ def extract_keywords(text: Column, unicode: bool = False) -> Column:
         pair = F.concat(previous, word)
         adds_pair = previous.isNotNull() & ~F.array_contains(found, pair)
         grown = F.concat(found, F.when(adds_pair, F.array(word, pair)).otherwise(F.array(word)))
-        # Once twelve are found nothing later can change them, so long texts stay linear.
-        return (
-            F.when(F.size(found) >= MAX_KEYWORDS, acc)
-            .when(counts, state(grown, word))
-            .otherwise(state(found, no_word))
-        )
+        grown = F.when(counts, state(grown, word)).otherwise(state(found, no_word))
+        # Once all are found nothing later can change them, so long texts stay linear.
+        return grown if most is None else F.when(F.size(found) >= most, acc).otherwise(grown)
 
     def finish(acc: Column) -> Column:
-        return F.slice(acc["found"], 1, MAX_KEYWORDS)
+        return acc["found"] if most is None else F.slice(acc["found"], 1, most)
 
     return F.aggregate(
         F.coalesce(tokens, no_words), state(no_words, no_word), step, finish

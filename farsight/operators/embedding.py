@@ -8,7 +8,7 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Protocol
 
 import numpy as np
@@ -24,6 +24,8 @@ DEFAULT_PROVIDER = "ollama"
 DEFAULT_MODEL = "nomic-embed-text"
 OPENAI_URL = "https://api.openai.com/v1/embeddings"
 RATE_LIMIT_WAITS = (1.0, 2.0)
+# A service that does not answer for so many seconds fails the task, which Spark tries again.
+TIMEOUT = 120.0
 
 # post(url, payload, headers) -> (status, body text)
 Transport = Callable[[str, dict, dict], tuple[int, str]]
@@ -43,12 +45,14 @@ def http_post(url: str, payload: dict, headers: dict) -> tuple[int, str]:
         method="POST",
     )
     try:
-        with urllib.request.urlopen(request) as response:
+        with urllib.request.urlopen(request, timeout=TIMEOUT) as response:
             return response.status, response.read().decode("utf-8")
     except urllib.error.HTTPError as error:
         return error.code, error.read().decode("utf-8", "replace")
     except urllib.error.URLError as error:
         raise RuntimeError(f"no connection to {url}: {error.reason}") from error
+    except TimeoutError as error:
+        raise RuntimeError(f"no answer from {url} within {TIMEOUT:g} seconds") from error
 
 
 def _json_or_raise(url: str, status: int, body: str) -> dict:
@@ -80,7 +84,7 @@ class OllamaEmbedder:
 class OpenAIEmbedder:
     """Waits and tries again when told to slow down (429), at most three attempts in all."""
 
-    api_key: str
+    api_key: str = field(repr=False)
     model: str
     post: Transport = http_post
     sleep: Callable[[float], None] = time.sleep
@@ -134,26 +138,36 @@ def _as_lists(vectors) -> pa.Array:
     return pa.array([list(vector) for vector in vectors], pa.list_(pa.float32()))
 
 
-def embed_column(
-    df: DataFrame, text_col: str, embedder: Embedder, batch_size: int = BATCH_SIZE
-) -> DataFrame:
-    """Replace the text column by `embedding`, at most `batch_size` texts per model call.
-
-    Only this column travels to the embedder and only vectors come back. The function is declared
-    nondeterministic so that Spark never evaluates it twice for one row.
-    """
+def embed_texts(embedder: Embedder, batch_size: int = BATCH_SIZE) -> Callable[[pa.Array], pa.Array]:
+    """Vectors for an Arrow array of texts (NULL counts as empty), at most `batch_size` texts per model call."""
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
 
     def embed(texts: pa.Array) -> pa.Array:
         parts = []
         for start in range(0, len(texts), batch_size):
-            part = texts.slice(start, batch_size).to_pylist()
+            part = [text or "" for text in texts.slice(start, batch_size).to_pylist()]
             vectors = embedder.embed(part)
             if len(vectors) != len(part):
                 raise RuntimeError(f"{len(vectors)} vectors for {len(part)} texts")
             parts.append(_as_lists(vectors))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
 
-    once = F.arrow_udf(embed, "array<float>").asNondeterministic()
+    return embed
+
+
+def embed_column(
+    df: DataFrame, text_col: str, embedder: Embedder, batch_size: int = BATCH_SIZE
+) -> DataFrame:
+    """Replace the text column by `embedding`, at most `batch_size` texts per model call.
+
+    Only this column travels to the embedder and only vectors come back. The function is declared
+    nondeterministic so that Spark never evaluates it twice for one row.
+    """
+    embed = embed_texts(embedder, batch_size)
+
+    def run(texts: pa.Array) -> pa.Array:
+        return embed(texts)
+
+    once = F.arrow_udf(run, "array<float>").asNondeterministic()
     return df.withColumn("embedding", once(F.col(text_col))).drop(text_col)

@@ -33,13 +33,15 @@ def ingest(
     text_col: Column | str = "text",
     seq_col: Column | str | None = None,
     batch_size: int = BATCH_SIZE,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = MAX_CHARS,
+    some_ids: bool = True,
 ) -> DataFrame:
     """Clean, keep the last row per id, embed, check and write; then show the new segment.
 
     The source is read once: vectors of the wrong size are counted while they are written, and the
     segment only becomes visible if there are none. Duplicates are dropped before the model
-    is called. Returns (partition_id, upserted_count).
+    is called. Returns (partition_id, upserted_count). A source none of whose rows has an id is refused, unless `some_ids`
+    is false. The first ingest into a collection that names no model binds it to the embedder's.
     """
     entry = store.entry(name)
     if entry["model_name"] and entry["model_name"] != embedder.model:
@@ -81,11 +83,12 @@ def ingest(
 
     if store.read_segment(path).isEmpty():
         # Nothing to publish; only now is it worth a second look at the source to say why.
-        counts = rows.agg(*missing_id_counts()).first()
-        require_some_ids(counts["rows"], counts["without_id"])
+        if some_ids:
+            counts = rows.agg(*missing_id_counts()).first()
+            require_some_ids(counts["rows"], counts["without_id"])
         return ingest_summary(store.read_segment(path), "seen")
     wrong = seen_vectors.get["wrong_size"]
     if wrong:
         raise ValueError(f"{wrong} vectors do not have {entry['vector_size']} elements")
-    store.publish(entry, [*entry["segments"], segment])
+    store.publish(entry, [*entry["segments"], segment], entry["model_name"] or embedder.model)
     return ingest_summary(store.read_segment(path), "seen")

@@ -17,23 +17,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distance import METRICS, best_first, score_matrix, to_matrix
-from ..functions.text import INDEX_TOKEN_LENGTH, index_tokens
+from ..functions.distance import METRICS, best_first, score_matrix, to_matrix, usable_rows
+from ..functions.text import index_tokens
 
 VECTOR_LEG = ""  # no keyword is empty
 DEFAULT_LIMIT = 10
 RRF_CONSTANT = 60
-FUSED_DECIMALS = 9
 
-# Queries are broadcast up to this many and this size; beyond it both sides are split into a grid.
-MAX_BROADCAST_QUERIES = 1024
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-GRID_POINTS_PER_CELL = 20_000
+# Queries are sent to the tasks in blocks of about this size; more queries are more passes over the points, which stay
+# where they are.
+MAX_BLOCK_BYTES = 8 * 1024 * 1024
 SCORES_PER_BLOCK = 4_000_000
-FEW_KEYWORDS = 16
 
 CANDIDATE_SCHEMA = (
     "query_key string, hybrid boolean, leg string, id string, score double, task int"
@@ -128,8 +125,13 @@ class LegRanker:
                 self.keyword_legs.setdefault(place[word], []).append(_Leg(q, word, limits.keyword))
 
     def add(self, ids: pa.Array, vectors: pa.Array, tokens: pa.Array | None) -> None:
-        if ids.null_count:
-            raise ValueError("every point needs an id to be ranked")
+        """Rank these points too; those whose vector cannot be compared, or who have no id, are in no leg."""
+        usable = usable_rows(vectors, self.queries.vectors.shape[1])
+        usable &= ids.is_valid().to_numpy(zero_copy_only=False)
+        if not usable.all():
+            usable = pa.array(usable)
+            ids, vectors = ids.filter(usable), vectors.filter(usable)
+            tokens = None if tokens is None else tokens.filter(usable)
         step = max(1, SCORES_PER_BLOCK // max(1, len(self.queries.keys)))
         for start in range(0, len(ids), step):
             part = slice(start, start + step)
@@ -206,30 +208,6 @@ def _feed(ranker: LegRanker, batch: pa.RecordBatch | pa.Table, prefix: str = "")
     )
 
 
-def with_matches(points: DataFrame, keywords: list[str]) -> DataFrame:
-    """`points` with `tokens` narrowed to the keywords a point holds as whole index tokens.
-
-    For a few keywords only. Without stored tokens no text is cut into words: a keyword is looked
-    for as it stands, and only where it occurs is it asked whether it stands alone.
-    """
-    shortest, longest = INDEX_TOKEN_LENGTH
-    indexed = [word for word in keywords if shortest <= len(word) <= longest]
-    if "tokens" in points.columns:
-        wanted = F.array(*[F.lit(word) for word in indexed]).cast("array<string>")
-        return points.withColumn("tokens", F.array_intersect(wanted, F.col("tokens")))
-    held = [
-        F.when(
-            F.contains("lowered", F.lit(word))
-            & F.col("lowered").rlike(rf"(?<![\p{{L}}\p{{N}}]){word}(?![\p{{L}}\p{{N}}])"),
-            F.lit(word),
-        )
-        for word in indexed
-    ]
-    return points.withColumn("lowered", F.lower("text")).withColumn(
-        "tokens", F.array_compact(F.array(*held).cast("array<string>"))
-    )
-
-
 def with_tokens(points: DataFrame) -> DataFrame:
     """`points` with the text index, worked out where it is not stored."""
     if "tokens" in points.columns:
@@ -246,8 +224,6 @@ def candidates_broadcast(
     columns = ["id", "embedding", "tokens"]
     if not vocabulary:
         columns.remove("tokens")
-    elif len(vocabulary) <= FEW_KEYWORDS:
-        points = with_matches(points, vocabulary)
     else:
         points = with_tokens(points)
     shared = points.sparkSession.sparkContext.broadcast(queries)
@@ -261,52 +237,17 @@ def candidates_broadcast(
     return points.select(*columns).mapInArrow(run, CANDIDATE_SCHEMA)
 
 
-def candidates_grid(
-    points: DataFrame,
-    queries: DataFrame,
-    n_queries: int,
-    dim: int,
-    metric: str,
-    limits: LegLimits,
-    queries_per_cell: int = MAX_BROADCAST_QUERIES // 2,
-) -> DataFrame:
-    """The same candidates when the queries are too many to broadcast.
+def query_blocks(queries: DataFrame, dim: int, max_bytes: int = MAX_BLOCK_BYTES) -> Iterator[QueryBlock]:
+    """The queries (query_key, keywords, query_vector; saved) in blocks of about `max_bytes`, brought one by one.
 
-    Queries are hashed into bands and points into slices; each (band, slice) cell is ranked on its
-    own. Cells are of bounded size whatever the data holds, since ids, not contents, are hashed,
-    and a cell emits the best of each leg, never its pairs.
+    Queries are dealt by a hash of their key, so that blocks are alike in size; the number follows from a sum of sizes.
     """
-    bands = max(1, math.ceil(n_queries / queries_per_cell))
-    slices = max(1, math.ceil(points.count() / GRID_POINTS_PER_CELL))
-
-    def numbered(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    left = (
-        with_tokens(points)
-        .select("id", "embedding", "tokens")
-        .withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-        .withColumn("band", numbered(bands))
-    )
-    right = (
-        queries.select("query_key", "query_vector", "keywords")
-        .withColumn("band", F.pmod(F.xxhash64("query_key"), F.lit(bands)).cast("int"))
-        .withColumn("slice", numbered(slices))
-    )
-
-    def run(cell_points: pa.Table, cell_queries: pa.Table) -> pa.Table:
-        if not cell_points.num_rows or not cell_queries.num_rows:
-            empty = LegRanker(QueryBlock([], np.zeros((0, dim)), []), metric, limits)
-            return pa.Table.from_batches([empty.result()])
-        ranker = LegRanker(QueryBlock.from_arrow(cell_queries, dim), metric, limits)
-        _feed(ranker, cell_points)
-        return pa.Table.from_batches([ranker.result()])
-
-    return (
-        left.groupBy("band", "slice")
-        .cogroup(right.groupBy("band", "slice"))
-        .applyInArrow(run, CANDIDATE_SCHEMA)
-    )
+    size = F.length("query_key") + F.length(F.array_join("keywords", " ")) + F.lit(16 + 8 * dim)
+    total = queries.agg(F.sum(size.cast("long"))).first()[0] or 0
+    count = max(1, math.ceil(total / max_bytes))
+    block = F.pmod(F.xxhash64("query_key"), F.lit(count))
+    for number in range(count):
+        yield QueryBlock.from_arrow(queries.filter(block == number).toArrow(), dim)
 
 
 def rank_legs(candidates: DataFrame, metric: str, limits: LegLimits) -> DataFrame:
@@ -336,14 +277,17 @@ def fuse(ranked: DataFrame, metric: str, rrf_constant: int = RRF_CONSTANT) -> Da
     """One score per (query, point): reciprocal ranks summed over the legs the point is in.
 
     A query without keywords has one leg only and keeps the raw metric. `goodness` sorts both
-    kinds best-first when descending.
+    kinds best-first when descending. The sum is taken from the smallest term on, so that points of the same ranks,
+    whatever the legs, tie exactly; nothing is rounded.
     """
     reciprocal = F.lit(1.0) / (F.lit(float(rrf_constant)) + F.col("rank"))
     sign = 1.0 if METRICS[metric] else -1.0
     return (
         ranked.groupBy("query_key", "id", "hybrid")
         .agg(
-            F.round(F.sum(reciprocal), FUSED_DECIMALS).alias("fused"),
+            F.aggregate(
+                F.sort_array(F.collect_list(reciprocal)), F.lit(0.0), lambda total, term: total + term
+            ).alias("fused"),
             F.max("score").alias("raw"),
         )
         .select(

@@ -3,30 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.distance import best_first, score_against
-from ..functions.text import extract_keywords
+from ..functions.text import MAX_KEYWORDS, extract_keywords
+from ..session import fresh_folder
 from ..sources.collection import Collection
 from .embedding import Embedder, embed_column, embed_query
 from .ranking import (
     DEFAULT_LIMIT,
-    MAX_BROADCAST_BYTES,
-    MAX_BROADCAST_QUERIES,
+    MAX_BLOCK_BYTES,
     RRF_CONSTANT,
     LegLimits,
     QueryBlock,
     candidates_broadcast,
-    candidates_grid,
     fuse,
+    query_blocks,
     rank_legs,
 )
 
-# Hits are broadcast to fetch their texts up to this many.
+# Hits, an id and a score each, are broadcast to fetch their texts up to this many.
 MAX_BROADCAST_HITS = 100_000
+# Texts of queries are broadcast up to this many bytes, which are counted.
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
+
+
+ONE_QUERY = "q"  # stands for the text of a search's only query until the end
 
 
 def _check(limit: int, offset: int) -> None:
@@ -34,10 +40,12 @@ def _check(limit: int, offset: int) -> None:
         raise ValueError("limit and offset must not be negative")
 
 
-def query_keywords(spark: SparkSession, query: str, unicode: bool = False) -> list[str]:
-    """The keywords of one query text."""
+def query_keywords(
+    spark: SparkSession, query: str, unicode: bool = False, most: int | None = MAX_KEYWORDS
+) -> list[str]:
+    """The keywords of one query text; `most` of them, None: all."""
     row = spark.sql("SELECT :query AS query", args={"query": query})
-    return row.select(extract_keywords(F.col("query"), unicode)).first()[0]
+    return row.select(extract_keywords(F.col("query"), unicode, most)).first()[0]
 
 
 def query_vector_for(
@@ -78,6 +86,7 @@ def nearest(
     score = score_against(collection.distance, F.col("embedding"), list(query_vector))
     return (
         collection.points.select("id", score.alias("score"))
+        .filter(F.col("score").isNotNull() & F.col("id").isNotNull())
         .orderBy(best_first(collection.distance, F.col("score")), "id")
         .offset(offset)
         .limit(limit)
@@ -126,7 +135,7 @@ def ranked_legs(
 ) -> DataFrame:
     """The legs of one query: (query_key, hybrid, leg, id, score, rank)."""
     block = QueryBlock(
-        [query], np.asarray([query_vector], dtype=np.float64), [list(keywords)]
+        [ONE_QUERY], np.asarray([query_vector], dtype=np.float64), [list(keywords)]
     )
     candidates = candidates_broadcast(collection.points, block, collection.distance, limits)
     return rank_legs(candidates, collection.distance, limits)
@@ -141,6 +150,7 @@ def search(
     embedder: Embedder | None = None,
     rrf_constant: int = RRF_CONSTANT,
     unicode_keywords: bool = False,
+    max_keywords: int | None = MAX_KEYWORDS,
 ) -> DataFrame:
     """Hybrid search: ID, TEXT, SCORE, QUERY, best first.
 
@@ -150,7 +160,7 @@ def search(
     if not query:
         raise ValueError("a search needs a query text")
     spark = collection.points.sparkSession
-    keywords = query_keywords(spark, query, unicode_keywords)
+    keywords = query_keywords(spark, query, unicode_keywords, max_keywords)
     vector = query_vector_for(collection, query, query_vector, embedder)
     if not keywords:
         return vector_search(collection, query, limit, offset, vector)
@@ -162,10 +172,46 @@ def search(
         fused.orderBy(F.desc("goodness"), "id")
         .offset(offset)
         .limit(limit)
-        .select("id", "score", F.col("query_key").alias("query"))
+        .select("id", "score")
     )
     found = collection.with_texts(hits, few=limit <= MAX_BROADCAST_HITS)
-    return result_rows(found.orderBy(F.desc("score"), "id").limit(limit))
+    best = found.orderBy(F.desc("score"), "id").limit(limit)
+    return result_rows(best.withColumn("query", F.lit(query)))
+
+
+def ranked_legs_of_many(
+    collection: Collection,
+    queries: DataFrame,
+    limits: LegLimits,
+    embedder: Embedder | None = None,
+    unicode_keywords: bool = False,
+    max_keywords: int | None = MAX_KEYWORDS,
+    max_block_bytes: int = MAX_BLOCK_BYTES,
+) -> DataFrame:
+    """The legs of a table of queries (query_id, query[, query_vector]), as `ranked_legs` has them for one; the key of
+    a query is its id as text."""
+    given = "query_vector" in queries.columns
+    worded = queries.select(
+        F.col("query_id").cast("string").alias("query_key"),
+        extract_keywords(F.col("query"), unicode_keywords, max_keywords).alias("keywords"),
+        F.col("query_vector").cast("array<double>") if given else F.col("query"),
+    )
+    if given:
+        prepared = worded
+    else:
+        _check_model(collection, embedder)
+        prepared = embed_column(worded, "query", embedder).withColumnRenamed(
+            "embedding", "query_vector"
+        )
+
+    metric, dim = collection.distance, collection.vector_size
+    spark = collection.points.sparkSession
+    folder = fresh_folder(spark, "queries")
+    prepared.select("query_key", "keywords", "query_vector").write.parquet(folder)
+    blocks = query_blocks(spark.read.parquet(folder), dim, max_block_bytes)
+    passes = [candidates_broadcast(collection.points, block, metric, limits) for block in blocks]
+    candidates = reduce(DataFrame.unionAll, passes)
+    return rank_legs(candidates, metric, limits)
 
 
 def search_many(
@@ -176,12 +222,13 @@ def search_many(
     embedder: Embedder | None = None,
     rrf_constant: int = RRF_CONSTANT,
     unicode_keywords: bool = False,
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
+    max_keywords: int | None = MAX_KEYWORDS,
+    max_block_bytes: int = MAX_BLOCK_BYTES,
 ) -> DataFrame:
     """Hybrid search for each row of a table (query_id, query[, query_vector]).
 
-    Returns query_id, ID, TEXT, SCORE, QUERY. Queries without keywords keep the raw metric. The
-    queries are broadcast if they are few, else both sides are hashed into a grid of cells.
+    Returns query_id, ID, TEXT, SCORE, QUERY. Queries without keywords keep the raw metric. The points are never moved:
+    queries are sent to them in blocks of about `max_block_bytes`, one pass over the points each.
     """
     _check(limit, offset)
     given = "query_vector" in queries.columns
@@ -191,37 +238,18 @@ def search_many(
         "query_id", "query", F.col("query_id").cast("string").alias("query_key")
     )
     sizes = asked.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("query_key").alias("ids")
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("query_key").alias("ids"),
+        F.sum(F.length(F.coalesce("query", F.lit(""))) + 64).alias("bytes"),
     ).first()
     if sizes["ids"] != sizes["rows"]:
         raise ValueError("query_id must be unique and not NULL")
 
-    worded = queries.select(
-        F.col("query_id").cast("string").alias("query_key"),
-        extract_keywords(F.col("query"), unicode_keywords).alias("keywords"),
-        F.col("query_vector").cast("array<float>") if given else F.col("query"),
+    limits, metric = LegLimits(limit + offset), collection.distance
+    ranked = ranked_legs_of_many(
+        collection, queries, limits, embedder, unicode_keywords, max_keywords, max_block_bytes
     )
-    if given:
-        prepared = worded
-    else:
-        _check_model(collection, embedder)
-        prepared = embed_column(worded, "query", embedder).withColumnRenamed(
-            "embedding", "query_vector"
-        )
-
-    limits = LegLimits(limit + offset)
-    metric, dim = collection.distance, collection.vector_size
-    n_queries = sizes["rows"]
-    few = n_queries <= max_broadcast_queries and n_queries * dim * 8 <= MAX_BROADCAST_BYTES
-    if few:
-        block = QueryBlock.from_arrow(prepared.toArrow(), dim)
-        candidates = candidates_broadcast(collection.points, block, metric, limits)
-    else:
-        candidates = candidates_grid(
-            collection.points, prepared, n_queries, dim, metric, limits,
-            queries_per_cell=max(1, max_broadcast_queries // 2),
-        )
-    fused = fuse(rank_legs(candidates, metric, limits), metric, rrf_constant)
+    fused = fuse(ranked, metric, rrf_constant)
     place = F.row_number().over(
         Window.partitionBy("query_key").orderBy(F.desc("goodness"), "id")
     )
@@ -230,7 +258,10 @@ def search_many(
         .filter((F.col("place") <= limit + offset) & (F.col("place") > offset))
         .select("query_key", "id", "score")
     )
-    found = collection.with_texts(hits, few=n_queries * limit <= MAX_BROADCAST_HITS)
+    found = collection.with_texts(hits, few=sizes["rows"] * limit <= MAX_BROADCAST_HITS)
     return result_rows(
-        found.join(F.broadcast(asked) if few else asked, "query_key"), "query_id"
+        found.join(
+            F.broadcast(asked) if (sizes["bytes"] or 0) <= MAX_BROADCAST_BYTES else asked, "query_key"
+        ),
+        "query_id",
     )

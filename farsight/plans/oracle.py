@@ -99,10 +99,16 @@ def dense(name: str, values: str, source: str, dim: int = 64) -> str:
     """
 
 
+def cut(score: str) -> str:
+    """A score's first twelve digits, by which points are ranked."""
+    digits = f"(11 - floor(log10(abs({score}))))::INTEGER"
+    return f"CASE WHEN {score} = 0 THEN 0 ELSE round({score}, {digits}) END"
+
+
 _POINTS = """
     points AS (
-        SELECT d.doc_id::VARCHAR AS id, d.text, e.embedding::DOUBLE[] AS v
-        FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id
+        SELECT e.vec_id::VARCHAR AS id, coalesce(d.text, '') AS text, e.embedding::DOUBLE[] AS v
+        FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id
     ),
     example AS (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 7)
 """
@@ -121,8 +127,9 @@ def topk(distance: str, limit: int, offset: int = 0, columns: str = "*") -> str:
     return f"""
     WITH {_POINTS}
     SELECT {columns} FROM (
-        SELECT id AS "ID", text AS "TEXT", round({score}, 6) AS "SCORE", 'what is the' AS "QUERY"
-        FROM points, example ORDER BY "SCORE" {direction}, "ID" LIMIT {limit} OFFSET {offset}
+        SELECT id AS "ID", text AS "TEXT", round(s, 6) AS "SCORE", 'what is the' AS "QUERY"
+        FROM (SELECT *, {score} AS s FROM points, example)
+        ORDER BY {cut("s")} {direction}, "ID" LIMIT {limit} OFFSET {offset}
     )
     """
 
@@ -134,13 +141,14 @@ def legs(limit: int) -> str:
     return f"""
     scored AS (
         SELECT a.query_id, p.id, p.toks, x.keywords,
-            round(coalesce(nullif(list_cosine_similarity(p.v, a.qv), 'nan'::DOUBLE), 0), 6) AS score
+            coalesce(nullif(list_cosine_similarity(p.v, a.qv), 'nan'::DOUBLE), 0) + 0.0::DOUBLE AS whole
         FROM points p CROSS JOIN asked a JOIN extracted x ON x.id = a.query_id
     ),
+    digits AS (SELECT *, {cut("whole")} AS score FROM scored),
     legged AS (
-        SELECT query_id, id, score, '' AS leg FROM scored
+        SELECT query_id, id, score, '' AS leg FROM digits
         UNION ALL
-        SELECT query_id, id, score, unnest(list_intersect(keywords, toks)) AS leg FROM scored
+        SELECT query_id, id, score, unnest(list_intersect(keywords, toks)) AS leg FROM digits
     ),
     kept AS (
         SELECT *, row_number() OVER (
@@ -151,34 +159,13 @@ def legs(limit: int) -> str:
     fused AS (
         SELECT k.query_id, k.id,
             CASE WHEN len(any_value(x.keywords)) = 0 THEN max(k.score)
-                 ELSE round(sum(1.0::DOUBLE / (60 + k.rank)), 9) END AS score
+                 ELSE list_reduce(list_sort(list(1.0::DOUBLE / (60 + k.rank))), lambda a, b: a + b) END AS score
         FROM kept k JOIN extracted x ON x.id = k.query_id
         GROUP BY k.query_id, k.id
     )
     """
 
 
-_EXAMPLE_LEGS = f"""
-    WITH RECURSIVE {_POINTS.replace("e.embedding::DOUBLE[] AS v", "e.embedding::DOUBLE[] AS v, " + tokens("d.text") + " AS toks")},
-    asked AS (
-        SELECT item_id AS query_id, text AS query, qv FROM benchmark, example WHERE item_id = 0
-    ),
-    {keywords("SELECT item_id AS id, text FROM benchmark WHERE item_id = 0")},
-    {legs(10)}
-"""
-
-
-def example_hits(limit: int) -> str:
-    return f"""
-    {_EXAMPLE_LEGS.replace(legs(10), legs(limit))},
-    hits AS (
-        SELECT f.id AS "ID", p.text AS "TEXT", f.score AS "SCORE", a.query AS "QUERY"
-        FROM fused f JOIN points p ON p.id = f.id JOIN asked a ON a.query_id = f.query_id
-        ORDER BY f.score DESC, f.id LIMIT {limit}
-    )
-    """
-
-
 _HASHED_LEGS = f"""
     documents_in AS (SELECT doc_id AS id, text FROM documents),
     {hashed_counts("document_counts", "FROM documents_in")},
@@ -198,6 +185,28 @@ _HASHED_LEGS = f"""
     {keywords("FROM queries_in")}
 """
 
+
+def hashed_legs(limit: int, queries: str) -> str:
+    """`legs` over all documents, with hashed vectors, for the rows (id, text) of a query."""
+    return f"WITH RECURSIVE queries_in AS ({queries}), {_HASHED_LEGS}, {legs(limit)}"
+
+
+_ONE_ITEM = "SELECT item_id AS id, text FROM benchmark WHERE item_id = 0"
+_ITEMS = "SELECT item_id AS id, text FROM benchmark"
+_TURNS = "SELECT conv_id || '-' || turn AS id, text FROM conversations"
+
+
+def hashed_hits(limit: int) -> str:
+    return f"""
+    {hashed_legs(limit, _ONE_ITEM)},
+    hits AS (
+        SELECT f.id AS "ID", p.text AS "TEXT", round(f.score, 9) AS "SCORE", a.query AS "QUERY"
+        FROM fused f JOIN points p ON p.id = f.id JOIN asked a ON a.query_id = f.query_id
+        ORDER BY f.score DESC, f.id LIMIT {limit}
+    )
+    """
+
+
 _DELIVERIES = """
     first_load AS (
         SELECT lang || '-' || n_chars AS id, arg_max(text, doc_id) AS text
@@ -220,7 +229,7 @@ def health(label: str, points: str) -> str:
     return f"""
     SELECT '{label}' AS collection, unnest([
         {{'place': 1, 'check': 'collection exists', 'ok': known > 0,
-          'detail': collections || ' collection(s): ' || shown}},
+          'detail': collections || ' collection(s)'}},
         {{'place': 2, 'check': 'has points', 'ok': points > 0, 'detail': points || ' points'}},
         {{'place': 3, 'check': 'ids present', 'ok': no_id = 0,
           'detail': no_id || ' points without id'}},
@@ -248,13 +257,12 @@ def health(label: str, points: str) -> str:
         FROM {points}
     ), (
         SELECT count(*) AS collections, count(*) FILTER (name = '{label}') AS known FROM names
-    ), (
-        SELECT string_agg(name, ', ' ORDER BY name) AS shown
-        FROM (FROM names ORDER BY name LIMIT 5)
     )
     """
 
 
+_SMALL = "list_transform(embedding, lambda x: (x * 1e-5::FLOAT)::FLOAT)::DOUBLE[]"
+
 ORACLE_SQL = {
     "vector_topk_cosine": topk("Cosine", 10),
     "vector_topk_euclid": topk("Euclid", 10),
@@ -281,41 +289,63 @@ ORACLE_SQL = {
             coalesce(quality, 0)::DOUBLE AS "SCORE", source AS "QUERY"
         FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
     """,
-    "keyword_leg": f"{_EXAMPLE_LEGS} SELECT leg, id, score, rank FROM kept",
-    "rrf_fusion": f"{_EXAMPLE_LEGS} SELECT id, score FROM fused",
-    "hybrid_search": f"{example_hits(10)} SELECT * FROM hits",
+    "keyword_leg": f"{hashed_legs(10, _ITEMS)} SELECT query_id::VARCHAR AS query_key, leg, id, round(score, 6) + 0.0 AS score, rank FROM kept",
+    "rrf_fusion": f"{hashed_legs(10, _ITEMS)} SELECT query_id::VARCHAR AS query_key, id, round(score, 9) AS score FROM fused",
+    "rrf_fusion_deep": f"{hashed_legs(5000, _ONE_ITEM)} SELECT id, round(score, 9) AS score FROM fused ORDER BY fused.score DESC, id LIMIT 5000",
+    "hybrid_search": f"{hashed_hits(10)} SELECT * FROM hits",
+    "vector_topk_small_norm": " UNION ALL ".join(
+        f"""
+        SELECT '{metric}' AS metric, id AS "ID" FROM (
+            SELECT *, {score} AS s
+            FROM (SELECT vec_id::VARCHAR AS id, {_SMALL} AS v FROM embeddings), (SELECT {_SMALL} AS qv FROM embeddings WHERE vec_id = 7)
+            ORDER BY {cut("s")} {direction}, id LIMIT 50)
+        """
+        for metric, (score, direction) in {
+            "Dot": ("list_inner_product(v, qv)", "DESC"), "Euclid": _SCORES["Euclid"]}.items()
+    ),
+    "search_dirty_points": f"""
+        WITH raw AS (
+            SELECT CASE WHEN d.doc_id % 10 = 3 THEN NULL WHEN d.doc_id % 10 = 4 THEN d.doc_id - 1 ELSE d.doc_id END::VARCHAR AS given,
+                d.text, d.doc_id, e.embedding::DOUBLE[] AS v, d.doc_id % 7 AS damage
+            FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id),
+        named AS (SELECT *, coalesce(given, {uuid5("text")}) AS id FROM raw),
+        one AS (
+            SELECT id, arg_min(struct_pack(v := v, damage := damage), struct_pack(text := text, doc_id := doc_id)) AS p FROM named GROUP BY id)
+        SELECT id AS "ID", round(list_cosine_similarity(p.v, qv), 6) AS "SCORE"
+        FROM one, (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 7)
+        WHERE p.damage NOT IN (1, 2)
+        ORDER BY {cut("list_cosine_similarity(p.v, qv)")} DESC, id LIMIT 40
+    """,
     "hybrid_fallback": topk("Cosine", 12),
     "batch_hybrid": f"""
-        WITH RECURSIVE queries_in AS (SELECT item_id AS id, text FROM benchmark),
-        {_HASHED_LEGS}, {legs(10)}
-        SELECT f.query_id, f.id AS "ID", p.text AS "TEXT", f.score AS "SCORE", a.query AS "QUERY"
+        {hashed_legs(10, _ITEMS)}
+        SELECT f.query_id, f.id AS "ID", p.text AS "TEXT", round(f.score, 9) AS "SCORE", a.query AS "QUERY"
         FROM (
             FROM fused QUALIFY row_number() OVER (
                 PARTITION BY query_id ORDER BY score DESC, id) <= 10
         ) f JOIN points p ON p.id = f.id JOIN asked a ON a.query_id = f.query_id
     """,
     "sql_table_function": f"""
-        WITH RECURSIVE queries_in AS (SELECT item_id AS id, text FROM benchmark WHERE item_id = 0),
-        {_HASHED_LEGS}, {legs(20)}
-        SELECT f.id AS "ID", d.lang, d.source, f.score AS "SCORE", a.query AS "QUERY"
+        {hashed_legs(20, _ONE_ITEM)}
+        SELECT f.id AS "ID", d.lang, d.source, round(f.score, 9) AS "SCORE", a.query AS "QUERY"
         FROM (FROM fused ORDER BY score DESC, id LIMIT 20) f
         JOIN documents d ON d.doc_id::VARCHAR = f.id JOIN asked a ON a.query_id = f.query_id
         WHERE f.score > 0.01
     """,
     "join_metadata": f"""
-        {example_hits(25)}
+        {hashed_hits(25)}
         SELECT h."ID", d.lang, d.source, h."SCORE"
         FROM hits h JOIN documents d ON d.doc_id::VARCHAR = h."ID"
     """,
     "join_fact": f"""
-        {example_hits(25)}
+        {hashed_hits(25)}
         SELECT e.event_id, e.user_id, e.event_type, h."ID", h."SCORE"
         FROM hits h JOIN events e ON e.user_id::VARCHAR = h."ID"
     """,
     "extract_keywords": f"""
         WITH RECURSIVE {keywords('''
             SELECT 'item-' || item_id AS id, text FROM benchmark UNION ALL
-            SELECT 'turn-' || conv_id || '-' || turn, text FROM conversations WHERE role = 'user'
+            SELECT 'turn-' || conv_id || '-' || turn, text FROM conversations
         ''')}
         SELECT id, array_to_string(keywords, ' ') AS keywords FROM extracted
     """,
@@ -429,8 +459,8 @@ ORACLE_SQL = {
     "collection_health": f"""
         WITH names AS (SELECT DISTINCT source AS name FROM documents),
         good AS (
-            SELECT doc_id::VARCHAR AS id, text, embedding AS v
-            FROM documents JOIN embeddings ON doc_id = vec_id
+            SELECT vec_id::VARCHAR AS id, coalesce(text, '') AS text, embedding AS v
+            FROM embeddings LEFT JOIN documents ON doc_id = vec_id
         ),
         bad AS (
             SELECT CASE WHEN length(text) > 500 THEN id END AS id,

@@ -56,14 +56,19 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def example_collection(spark: SparkSession, folder: str, distance: str = "Cosine") -> Collection:
-    """Documents with their given vectors."""
-    documents = table(spark, folder, "documents").withColumnRenamed("doc_id", "id")
-    vectors = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "id")
+    """All given vectors, with the documents' texts where there are any."""
+    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     return Collection.from_table(
-        "documents", documents.join(vectors, "id"), DIM, distance=distance
+        "documents", vectors.join(documents, "id", "left"), DIM, distance=distance
     )
 
 
+def shown(hits: DataFrame, decimals: int = 6, score: str = "SCORE") -> DataFrame:
+    """Scores rounded for comparison with other engines, after everything that depends on them."""
+    return hits.withColumn(score, F.round(score, decimals))
+
+
 def hashed_collection(
     spark: SparkSession, folder: str, distance: str, normalise: bool = True
 ) -> Collection:
@@ -95,11 +100,12 @@ def example_query(spark: SparkSession, folder: str) -> str:
 
 def vector_topk(distance: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return S.vector_search(
+        hits = S.vector_search(
             example_collection(spark, folder, distance),
             NO_KEYWORDS,
             query_vector=example_vector(spark, folder),
         )
+        return shown(hits)
 
     return run
 
@@ -114,17 +120,18 @@ def vector_topk_dot(spark: SparkSession, folder: str) -> DataFrame:
         .first()[0]
     )
     collection = hashed_collection(spark, folder, "Dot", normalise=False)
-    return S.vector_search(collection, query, query_vector=vector)
+    return shown(S.vector_search(collection, query, query_vector=vector))
 
 
 def vector_topk_offset(spark: SparkSession, folder: str) -> DataFrame:
-    return S.vector_search(
+    hits = S.vector_search(
         example_collection(spark, folder),
         NO_KEYWORDS,
         limit=15,
         offset=20,
         query_vector=example_vector(spark, folder),
     )
+    return shown(hits)
 
 
 def score_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,7 +141,7 @@ def score_filter(spark: SparkSession, folder: str) -> DataFrame:
         limit=50,
         query_vector=example_vector(spark, folder),
     )
-    return hits.filter(F.col("SCORE") > 0.2).select("ID", "SCORE")
+    return shown(hits.filter(F.col("SCORE") > 0.2).select("ID", "SCORE"))
 
 
 def result_contract(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,51 +163,96 @@ def result_contract(spark: SparkSession, folder: str) -> DataFrame:
 # ---- hybrid search
 
 
-def _example_legs(spark: SparkSession, folder: str, limits: LegLimits) -> DataFrame:
-    query = example_query(spark, folder)
-    return S.ranked_legs(
-        example_collection(spark, folder),
-        query,
-        S.query_keywords(spark, query),
-        example_vector(spark, folder),
-        limits,
+def items(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
 
 
+def _item_legs(spark: SparkSession, folder: str) -> DataFrame:
+    """The legs of all benchmark texts over all documents."""
+    collection = hashed_collection(spark, folder, "Cosine")
+    return S.ranked_legs_of_many(collection, items(spark, folder), LegLimits(10), HashEmbedder(DIM))
+
+
 def keyword_leg(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = _example_legs(spark, folder, LegLimits(10))
-    return ranked.select("leg", "id", "score", F.col("rank").cast("bigint").alias("rank"))
+    ranked = _item_legs(spark, folder)
+    return shown(
+        ranked.select("query_key", "leg", "id", "score", F.col("rank").cast("bigint").alias("rank")), 6, "score"
+    )
 
 
 def rrf_fusion(spark: SparkSession, folder: str) -> DataFrame:
-    return fuse(_example_legs(spark, folder, LegLimits(10)), "Cosine").select("id", "score")
+    fused = fuse(_item_legs(spark, folder), "Cosine")
+    return shown(fused.select("query_key", "id", "score"), 9, "score")
 
 
-def hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
+def _hybrid(spark: SparkSession, folder: str, limit: int) -> DataFrame:
     return S.search(
-        example_collection(spark, folder),
+        hashed_collection(spark, folder, "Cosine"),
         example_query(spark, folder),
-        query_vector=example_vector(spark, folder),
+        limit=limit,
+        embedder=HashEmbedder(DIM),
+    )
+
+
+def rrf_fusion_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """So many ranks that neighbours differ in the tenth decimal only."""
+    hits = _hybrid(spark, folder, 5000)
+    return shown(hits.select(F.col("ID").alias("id"), F.col("SCORE").alias("score")), 9, "score")
+
+
+def hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
+    """One query over all documents."""
+    return shown(_hybrid(spark, folder, 10), 9)
+
+
+def vector_topk_small_norm(spark: SparkSession, folder: str) -> DataFrame:
+    """The given vectors a hundred thousand times smaller: scores differ far behind the point."""
+    small = F.transform("embedding", lambda x: (x * F.lit(1e-5).cast("float")).cast("float"))
+    vectors = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), F.lit("").alias("text"), small.alias("embedding")
+    )
+    query = vectors.filter(F.col("id") == QUERY_POINT).first()["embedding"]
+    hits = [
+        S.vector_search(
+            Collection.from_table("small", vectors, DIM, distance=metric), NO_KEYWORDS, 50, query_vector=query
+        ).select(F.lit(metric).alias("metric"), "ID")
+        for metric in ("Dot", "Euclid")
+    ]
+    return reduce(DataFrame.unionAll, hits)
+
+
+def search_dirty_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of which some have no id, some another's, some no vector and some one that is not finite."""
+    documents = table(spark, folder, "documents").join(
+        table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id"
     )
+    last = F.col("doc_id") % 10
+    given = F.when(last == 4, F.col("doc_id") - 1).when(last != 3, F.col("doc_id"))
+    damage = F.col("doc_id") % 7
+    nan = F.transform("embedding", lambda x: F.lit(float("nan")).cast("float"))
+    vector = F.when(damage == 2, nan).when(damage != 1, F.col("embedding"))
+    points = documents.select(given.alias("id"), "text", vector.alias("embedding"))
+    collection = Collection.from_table("dirty", points, DIM)
+    hits = S.vector_search(collection, NO_KEYWORDS, 40, query_vector=example_vector(spark, folder))
+    return shown(hits.select("ID", "SCORE"))
 
 
 def hybrid_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    return S.search(
+    hits = S.search(
         example_collection(spark, folder),
         NO_KEYWORDS,
         limit=12,
         query_vector=example_vector(spark, folder),
     )
+    return shown(hits)
 
 
 def batch_hybrid(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark text searched for in all documents."""
-    queries = table(spark, folder, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.col("text").alias("query")
-    )
-    return S.search_many(
-        hashed_collection(spark, folder, "Cosine"), queries, embedder=HashEmbedder(DIM)
-    )
+    collection = hashed_collection(spark, folder, "Cosine")
+    return shown(S.search_many(collection, items(spark, folder), embedder=HashEmbedder(DIM)), 9)
 
 
 def sql_table_function(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,7 +263,7 @@ def sql_table_function(spark: SparkSession, folder: str) -> DataFrame:
     query = example_query(spark, folder).replace("\\", "\\\\").replace("'", "\\'")
     return spark.sql(
         f"""
-        SELECT h.ID, d.lang, d.source, h.SCORE, h.QUERY
+        SELECT h.ID, d.lang, d.source, round(h.SCORE, 9) AS SCORE, h.QUERY
         FROM search_documents('{query}', 20) h JOIN all_documents d
           ON h.ID = CAST(d.doc_id AS STRING)
         WHERE h.SCORE > 0.01
@@ -221,12 +273,7 @@ def sql_table_function(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def join_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    hits = S.search(
-        example_collection(spark, folder),
-        example_query(spark, folder),
-        limit=25,
-        query_vector=example_vector(spark, folder),
-    )
+    hits = shown(_hybrid(spark, folder, 25), 9)
     metadata = table(spark, folder, "documents").select("doc_id", "lang", "source")
     joined = join_hits(hits, metadata, "doc_id", n_hits=25)
     return joined.select("ID", "lang", "source", "SCORE").orderBy(F.desc("SCORE"), "ID")
@@ -234,12 +281,7 @@ def join_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 def join_fact(spark: SparkSession, folder: str) -> DataFrame:
     """One hit to many events."""
-    hits = S.search(
-        example_collection(spark, folder),
-        example_query(spark, folder),
-        limit=25,
-        query_vector=example_vector(spark, folder),
-    )
+    hits = shown(_hybrid(spark, folder, 25), 9)
     joined = join_hits(hits, table(spark, folder, "events"), "user_id", n_hits=25)
     return joined.select("event_id", "user_id", "event_type", "ID", "SCORE").orderBy(
         F.desc("SCORE"), "event_id"
@@ -250,14 +292,14 @@ def join_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def extract_keywords_query(spark: SparkSession, folder: str) -> DataFrame:
-    """All benchmark texts and all user turns."""
-    items = table(spark, folder, "benchmark").select(
+    """All benchmark texts and all turns."""
+    texts_ = table(spark, folder, "benchmark").select(
         F.concat(F.lit("item-"), F.col("item_id")).alias("id"), "text"
     )
-    turns = table(spark, folder, "conversations").filter(F.col("role") == "user").select(
+    turns = table(spark, folder, "conversations").select(
         F.concat_ws("-", F.lit("turn"), "conv_id", "turn").alias("id"), "text"
     )
-    return items.unionByName(turns).select(
+    return texts_.unionByName(turns).select(
         "id", F.array_join(extract_keywords(F.col("text")), " ").alias("keywords")
     )
 
@@ -498,6 +540,9 @@ QUERIES = {
     "result_contract": result_contract,
     "keyword_leg": keyword_leg,
     "rrf_fusion": rrf_fusion,
+    "rrf_fusion_deep": rrf_fusion_deep,
+    "vector_topk_small_norm": vector_topk_small_norm,
+    "search_dirty_points": search_dirty_points,
     "hybrid_search": hybrid_search,
     "hybrid_fallback": hybrid_fallback,
     "batch_hybrid": batch_hybrid,

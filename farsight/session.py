@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pathlib
+import re
 import shutil
 import tempfile
 import uuid
@@ -13,11 +14,11 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a fresh temporary one only in local mode."""
+    """The shared folder named by the cluster; a fresh temporary one only where one machine is all there is."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     return tempfile.mkdtemp(prefix="farsight-")
 

@@ -49,18 +49,30 @@ class Collection:
         vector_col: str = "embedding",
         **settings,
     ) -> Collection:
-        """A collection over any table that already has vectors, and perhaps tokens."""
+        """A collection over any table that already has vectors, and perhaps tokens.
+
+        A row without an id gets the point id of its text, as the ids of a collection name its points; so do rows with
+        an empty one. Ids must then be unique: of rows with the same id one stays, that of the least text, then least vector
+        (one count over the ids tells whether there are any; a table without them is not shuffled). Rows whose
+        vector is missing, of another size or not finite stay, but no search finds them; `size_report` counts them.
+        """
+        text = F.coalesce(F.col(text_col), F.lit(""))
         points = df.select(
-            F.col(id_col).cast("string").alias("id"),
-            F.coalesce(text_col, F.lit("")).alias("text"),
+            F.coalesce(F.nullif(F.col(id_col).cast("string"), F.lit("")), point_id(text)).alias("id"),
+            text.alias("text"),
             F.col(vector_col).cast("array<float>").alias("embedding"),
             *(["tokens"] if "tokens" in df.columns else []),
         )
+        counts = points.agg(F.count("id").alias("rows"), F.count_distinct("id").alias("ids")).first()
+        if counts["rows"] != counts["ids"]:
+            rest = [c for c in points.columns if c != "id"]
+            points = points.groupBy("id").agg(F.min(F.struct(*rest)).alias("row")).select("id", "row.*")
         return cls(name, points, vector_size, **settings)
 
     def size_report(self) -> DataFrame:
         """How many points have a vector of the right size, and how many do not."""
-        bad = wrong_size(F.col("embedding"), self.vector_size)
+        infinite = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+        bad = wrong_size(F.col("embedding"), self.vector_size) | F.coalesce(infinite, F.lit(False))
         return self.points.agg(
             F.count_if(~bad).alias("fitting"), F.count_if(bad).alias("not_fitting")
         )

@@ -18,9 +18,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.distance import check_metric
+from ..functions.sql import register_search_function
 from ..operators.catalog import list_tables
 from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
 from ..operators.upsert import keep_last, overlay
@@ -39,6 +39,11 @@ POINT_COLUMNS = ["point_id", "id", "text", "embedding", "tokens", "seen", "shard
 MAX_SHARD_DIGITS = 4
 
 
+def view_name(collection: str) -> str:
+    """The name of a collection in SQL: lower case, `_` for what no identifier may have."""
+    return re.sub(r"\W", "_", collection.lower(), flags=re.ASCII)
+
+
 class CollectionStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -48,10 +53,14 @@ class CollectionStore:
     # ---- registry
 
     def _changes(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self._registry_path)
-        except AnalysisException:
+        if not self._exists(self._registry_path):
             return self.spark.createDataFrame([], REGISTRY_SCHEMA)
+        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self._registry_path)
+
+    def _exists(self, path: str) -> bool:
+        """Asked of the file system itself, so that no other failure to read passes for a missing registry."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
 
     def registry(self) -> DataFrame:
         """The current entry of each collection, read anew at each call."""
@@ -80,7 +89,7 @@ class CollectionStore:
         )
 
     def _record(self, changes: DataFrame) -> None:
-        changes.coalesce(1).write.mode("append").parquet(self._registry_path)
+        changes.repartition(1).write.mode("append").parquet(self._registry_path)
 
     # ---- creating and listing
 
@@ -146,12 +155,26 @@ class CollectionStore:
         return list_tables(self.registry(), collection_filter)
 
     def refresh(self, collection_filter: str | None = None) -> list[str]:
-        """Make the points of every matching collection a temporary view of the same name."""
-        tables = self.list(collection_filter).select("table_name").distinct().collect()
-        names = sorted(row["table_name"].lower() for row in tables)
-        for name in names:
-            self.points(name).createOrReplaceTempView(name)
-        return names
+        """Make the points of every matching collection a temporary view, whatever its name; see `view_name`.
+
+        The registry is read once for all.
+        """
+        tables = self.list(collection_filter).select(F.lower("table_name").alias("key")).distinct()
+        entries = self.registry().join(F.broadcast(tables), F.lower("name") == F.col("key")).collect()
+        for entry in entries:
+            self._points_of(entry).createOrReplaceTempView(view_name(entry["name"]))
+        return sorted(view_name(entry["name"]) for entry in entries)
+
+    def register_search(self, name: str, embedder=None, function: str | None = None, limit: int = 10) -> str:
+        """A SQL function for a collection, with its metric: `search_<view>(query[, k[, offset]])`. Returns its name."""
+        entry = self.entry(name)
+        view = view_name(entry["name"])
+        self._points_of(entry).createOrReplaceTempView(view)
+        function = function or f"search_{view}"
+        register_search_function(
+            self.spark, function, view, entry["vector_size"], embedder, entry["distance"], default_limit=limit
+        )
+        return function
 
     # ---- points
 
@@ -170,11 +193,12 @@ class CollectionStore:
             .parquet(path)
         )
 
-    def publish(self, entry: Row, segments: list[str]) -> None:
-        """Show exactly these segments, unless the collection changed since `entry` was read."""
+    def publish(self, entry: Row, segments: list[str], model_name: str | None = None) -> None:
+        """Show exactly these segments, unless the collection changed since `entry` was read; a model given binds it."""
         if self.entry(entry["name"])["version"] != entry["version"]:
             raise RuntimeError(f"{entry['name']!r} was changed by another writer meanwhile")
         changed = {**entry.asDict(), "version": entry["version"] + 1, "segments": segments}
+        changed["model_name"] = model_name or entry["model_name"]
         values = [changed[column] for column in ["version", *ENTRY_COLUMNS]]
         self._record(self._one_change(*values))
 

@@ -31,7 +31,8 @@ def ingest_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest(store, name, batch, embedder, **settings)
+        # A batch without any id writes nothing; refusing it would stop the stream at it for good.
+        ingest(store, name, batch, embedder, **{"some_ids": False, **settings})
         if (batch_id + 1) % compact_every == 0:
             store.compact(name, later_only=True)
 

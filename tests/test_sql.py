@@ -48,5 +48,5 @@ def test_its_result_is_a_table(spark, store):
 @pytest.mark.parametrize("query", KEYWORD_CASES)
 def test_keywords_in_sql(spark, query):
     register_functions(spark)
-    found = spark.sql("SELECT query_keywords(:q) AS k", args={"q": query}).first()["k"]
+    found = spark.sql("SELECT farsight_query_keywords(:q) AS k", args={"q": query}).first()["k"]
     assert found == KEYWORD_CASES[query]

@@ -213,9 +213,12 @@ def test_an_empty_source_is_no_error(spark, store):
 
 def test_vectors_of_the_wrong_size_stay_invisible(spark, store):
     store.create("docs", DIM)
-    load(store, rows(spark, ("a", "one")))
     with pytest.raises(ValueError, match="16 elements"):
         load(store, rows(spark, ("a", "two"), ("b", "three")), embedder=HashEmbedder(8))
+    assert contents(store) == {}
+    load(store, rows(spark, ("a", "one")))
+    with pytest.raises(ValueError, match="hash-8"):  # the first ingest has bound the model
+        load(store, rows(spark, ("a", "two")), embedder=HashEmbedder(8))
     assert contents(store) == {"a": "one"}
 
 
@@ -317,3 +320,17 @@ def test_stream(spark, store):
     deliver(("b", "seven"))
     run()  # goes on where it stopped
     assert contents(store) == {"a": "six", "b": "seven", "c": "four"}
+
+
+def test_names_that_are_no_identifiers(spark, store):
+    for name in ("my-docs", "v1.2"):
+        store.create(name, DIM, distance="Euclid")
+        load(store, rows(spark, ("a", "one word"), ("b", "two words")), name=name)
+    assert {"my_docs", "v1_2"} <= set(store.refresh())
+    function = store.register_search("my-docs", HashEmbedder(DIM))
+    assert function == "search_my_docs"
+    found = spark.sql(f"SELECT * FROM {function}('what is the')").collect()
+    wanted = S.search(store.collection("my-docs"), "what is the", embedder=HashEmbedder(DIM)).collect()
+    assert sorted(found) == sorted(wanted) and len(found) == 2
+    with pytest.raises(Exception, match="needs a query text"):
+        spark.sql(f"SELECT * FROM {function}('')").collect()
