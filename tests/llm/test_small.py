@@ -174,7 +174,8 @@ def brute_lines(rows):
 
     def print_of(line):
         words = regex.split(r"[^\p{L}]+", line)
-        words = [w for w in words if len(w) >= 4] or words
+        long = [w for w in words if len(w) >= 4]
+        words = long if len(long) >= 8 else words
         hashes = [xxhash.xxh64_intdigest(w, seed=42) for w in words]
         return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
 
