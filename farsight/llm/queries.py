@@ -20,7 +20,7 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity, learned from the labelled documents outside the held-out fold."""
     docs = _read(spark, folder, "documents")
     labels = _read(spark, folder, "labels").filter(_fold("doc_id", 4) != 2).select("doc_id", "toxic")
-    labelled = docs.select("doc_id", "text").join(labels, "doc_id").select("text", "toxic")
+    labelled = toxicity.labelled_texts(docs, labels)
     scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(labelled))
     return scored.select(
         "doc_id",

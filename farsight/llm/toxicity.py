@@ -15,7 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farsight.llm.common import saved
+from farsight.llm.common import broadcast_if_small, saved
 
 #: Stems considered: whole words, and beginnings of so many letters.
 SHORTEST_STEM, LONGEST_STEM = 4, 9
@@ -24,6 +24,8 @@ LEAST_SHARE, LEAST_TEXTS, LEAST_ODDS = 0.004, 3, 20.0
 #: Words to either side of a hit that tell quotation from abuse.
 WINDOW = 8
 REMEMBERED = 400_000
+#: Labelled rows learned from at most, drawn by a hash of the id; enough to settle the weights of some hundred terms.
+MOST_LABELLED = 400_000
 
 # Signs of quotation, words that report speech, and words that address someone.
 OPENING, CLOSING = "\"“„«‘'", "\"”“»’'"
@@ -225,6 +227,22 @@ def _counted(counts: Counter[str]) -> pa.RecordBatch:
     )
 
 
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_LABELLED
+) -> DataFrame:
+    """(text, toxic) of the documents that `labels` (id, toxic) has, about `most` of them, written once.
+
+    With no more labels than that their ids always fit a broadcast, so that no text is shuffled. Labels of null ids are
+    for no row.
+    """
+    usable = labels.select(F.col(id_col).alias("id"), "toxic").filter("id IS NOT NULL AND toxic IN (0, 1)")
+    share = most / max(most, usable.count())
+    drawn = F.pmod(F.xxhash64(F.lit("labels"), "id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    chosen = broadcast_if_small(saved(usable.filter(drawn), "labels"), 16)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return saved(texts.join(chosen, "id").select("text", "toxic"), "labelled-texts")
+
+
 def learn_lexicon(labelled: DataFrame) -> tuple[Term, ...]:
     """Terms that tell toxic texts from others, of `labelled` (text, toxic: 0, 1 or null).
 

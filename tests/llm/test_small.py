@@ -68,6 +68,10 @@ def test_toxicity(table, spark):
     labelled = spark.createDataFrame([*clean, *bad, (None, 1), ("x", None)], "text string, toxic int")
     model = toxicity.fit_toxicity(labelled)
     assert any("grumblefink".startswith(term.stem) for term in model.terms)
+    labels = spark.createDataFrame([(4, 1), (5, 0), (None, 1), (6, None), (99, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_texts(table(ODD), labels).collect()
+    assert sorted((row["text"][:3], row["toxic"]) for row in got) == [(LONG[:3], 0), ("one", 1), ("one", 1)]
+    assert toxicity.labelled_texts(table(ODD), labels, most=0).count() == 0
     rows = table([*ODD, (20, "a grumblefink"), (21, "a grumblefimk"), (22, "nice alpha"), (23, 'he said "grumblefink" is a word')])
     score = {row["doc_id"]: row["score"] for row in toxicity.score_toxicity(rows, model).collect()}
     assert score[20] > 0.5 and score[21] > score[22] and score[23] < score[20]
