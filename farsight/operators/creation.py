@@ -50,6 +50,9 @@ def request_problem(
     )
 
 
+SALTS = 32
+
+
 def plan_creation(requests: DataFrame, registered: DataFrame) -> DataFrame:
     """One status per request.
 
@@ -57,8 +60,8 @@ def plan_creation(requests: DataFrame, registered: DataFrame) -> DataFrame:
     request for an unregistered name creates it; later ones and those for a registered name find
     it there and change nothing. A name differing from a present one only by case is refused.
 
-    Names are first reduced to one row each, with map-side partial aggregation, so a name asked
-    for very often is never gathered in one task.
+    Names are first reduced to one row each, with map-side partial aggregation; the requests then meet them by name
+    and by one of SALTS parts, so a name asked for very often is spread over as many tasks.
     """
     size = resolved_size(F.col("vector_size"), F.col("model_name"))
     checked = requests.select(
@@ -92,6 +95,8 @@ def plan_creation(requests: DataFrame, registered: DataFrame) -> DataFrame:
         .when(F.col("seq") == F.col("creating_seq"), F.concat(F.lit("created: "), "name"))
         .otherwise(F.concat(F.lit("exists: "), "name"))
     )
-    return checked.join(owners, "key", "left").select(
+    salt = F.pmod(F.xxhash64("seq", "name"), F.lit(SALTS))
+    salted = owners.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return checked.withColumn("salt", salt).join(salted, ["key", "salt"], "left").select(
         "seq", "name", "vector_size", "distance", "model_name", status.alias("status")
     )

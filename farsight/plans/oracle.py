@@ -33,8 +33,10 @@ def uuid5(text: str) -> str:
     )
 
 
-def keywords(source: str) -> str:
+def keywords(source: str, most: int | None = 12) -> str:
     """CTEs giving `extracted(id, keywords)` from a table or query with (id, text)."""
+    more = "" if most is None else f"AND len(f.found) < {most}"
+    shown = "" if most is None else f"[1:{most}]"
     return rf"""
     ascii_words AS (
         SELECT id, regexp_extract_all(
@@ -57,10 +59,10 @@ def keywords(source: str) -> str:
                 AND NOT list_contains({_STOP_LIST}, a.w[f.place + 1])
                 AND NOT list_contains(f.found, a.w[f.place + 1]) AS counts
             FROM fold f JOIN ascii_words a ON a.id = f.id
-            WHERE f.place < len(a.w) AND len(f.found) < 12
+            WHERE f.place < len(a.w) {more}
         )
     ),
-    extracted AS (SELECT id, arg_max(found, place)[1:12] AS keywords FROM fold GROUP BY id)
+    extracted AS (SELECT id, arg_max(found, place){shown} AS keywords FROM fold GROUP BY id)
     """
 
 
@@ -349,6 +351,13 @@ ORACLE_SQL = {
         ''')}
         SELECT id, array_to_string(keywords, ' ') AS keywords FROM extracted
     """,
+    "extract_keywords_uncapped": f"""
+        WITH RECURSIVE {keywords('''
+            SELECT 'item-' || item_id AS id, text FROM benchmark UNION ALL
+            SELECT 'turn-' || conv_id || '-' || turn, text FROM conversations
+        ''', None)}
+        SELECT id, array_to_string(keywords, ' ') AS keywords FROM extracted
+    """,
     "text_index_postings": f"""
         SELECT token, count(*) AS documents
         FROM (SELECT unnest({tokens("text")}) AS token FROM documents) GROUP BY token
@@ -363,6 +372,11 @@ ORACLE_SQL = {
         {unit_values("units", "counts")}
         SELECT id AS doc_id, bucket, round(value::DOUBLE, 6) AS value FROM units
     """,
+    "batch_embed_whole_text": f"""
+        WITH {hashed_counts("counts", "SELECT doc_id AS id, text FROM documents")},
+        {unit_values("units", "counts")}
+        SELECT id AS doc_id, bucket, round(value::DOUBLE, 6) AS value FROM units
+    """,
     "point_id_uuid5": f"""
         SELECT c_custkey, c_name, {uuid5("c_name")} AS point_id FROM customer
     """,

@@ -14,6 +14,8 @@ from ..functions.hashing import hash_embed_words
 from ..functions.ids import point_id
 from ..functions.sql import register_search_function
 from ..functions.text import (
+    MAX_CHARS,
+    MAX_KEYWORDS,
     extract_keywords,
     index_tokens,
     text_for_embedding,
@@ -292,6 +294,14 @@ def join_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def extract_keywords_query(spark: SparkSession, folder: str) -> DataFrame:
+    return keywords_of_all(spark, folder, MAX_KEYWORDS)
+
+
+def extract_keywords_uncapped(spark: SparkSession, folder: str) -> DataFrame:
+    return keywords_of_all(spark, folder, None)
+
+
+def keywords_of_all(spark: SparkSession, folder: str, most: int | None) -> DataFrame:
     """All benchmark texts and all turns."""
     texts_ = table(spark, folder, "benchmark").select(
         F.concat(F.lit("item-"), F.col("item_id")).alias("id"), "text"
@@ -300,7 +310,7 @@ def extract_keywords_query(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws("-", F.lit("turn"), "conv_id", "turn").alias("id"), "text"
     )
     return texts_.unionByName(turns).select(
-        "id", F.array_join(extract_keywords(F.col("text")), " ").alias("keywords")
+        "id", F.array_join(extract_keywords(F.col("text"), most=most), " ").alias("keywords")
     )
 
 
@@ -334,14 +344,19 @@ def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
     return _non_zero(vectors, "doc_id")
 
 
-def batch_embed(spark: SparkSession, folder: str) -> DataFrame:
+def batch_embed(spark: SparkSession, folder: str, max_chars: int | None = MAX_CHARS) -> DataFrame:
     """The model sees the truncated text, a hundred rows per call."""
     documents = texts(spark, folder).select(
-        "doc_id", text_for_embedding(F.col("text")).alias("model_text")
+        "doc_id", text_for_embedding(F.col("text"), max_chars).alias("model_text")
     )
     return _non_zero(embed_column(documents, "model_text", HashEmbedder(DIM)), "doc_id")
 
 
+def batch_embed_whole_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The model sees the whole text."""
+    return batch_embed(spark, folder, None)
+
+
 def point_id_uuid5(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
         "c_custkey", "c_name", point_id(F.col("c_name")).alias("point_id")
@@ -550,9 +565,11 @@ QUERIES = {
     "join_metadata": join_metadata,
     "join_fact": join_fact,
     "extract_keywords": extract_keywords_query,
+    "extract_keywords_uncapped": extract_keywords_uncapped,
     "text_index_postings": text_index_postings,
     "hash_embed": hash_embed,
     "batch_embed": batch_embed,
+    "batch_embed_whole_text": batch_embed_whole_text,
     "point_id_uuid5": point_id_uuid5,
     "ingest_clean": ingest_clean,
     "ingest_truncate": ingest_truncate,
