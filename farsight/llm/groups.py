@@ -58,7 +58,7 @@ def linked_groups(
 
     After the first round `enrich`, if given, adds columns to the few rows (bucket, node, root, ...) left before they are joined, and
     `must_link` is also asked in the join: with what those columns hold it can decide about a pair before it becomes a
-    row. What it adds is not kept from round to round. All later rows are among those of its first call.
+    row. What it adds is not kept from round to round, and rows without any partner do not get it.
     """
     ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     ends = broadcast_if_small(cut(ends.filter("low < high").select("bucket")), 16)
@@ -68,12 +68,14 @@ def linked_groups(
         hubs = HUBS[min(turn, len(HUBS) - 1)]
         place = F.row_number().over(W.partitionBy("bucket").orderBy("node"))
         chosen = cut(live.withColumn("place", place).filter(F.col("place") <= hubs).drop("place"))
-        allowed = may_link("l", "h") if not turn or must_link is None else may_link("l", "h") & must_link("l", "h")
         same = (F.col("l.bucket") == F.col("h.bucket")) & (F.col("l.node") > F.col("h.node"))
-        left, right = (live, chosen) if not turn or enrich is None else (enrich(live), enrich(chosen))
-        pairs = left.alias("l").join(
-            right.alias("h"), same & (F.col("l.root") != F.col("h.root")) & allowed
-        )
+        allowed = same & (F.col("l.root") != F.col("h.root")) & may_link("l", "h")
+        left, right = live, chosen
+        if turn and enrich is not None:  # only for rows that have any partner
+            left = enrich(cut(live.alias("l").join(chosen.alias("h"), allowed, "left_semi")))
+            right = enrich(cut(chosen.alias("h").join(live.alias("l"), allowed, "left_semi")))
+            allowed = allowed & must_link("l", "h")
+        pairs = left.alias("l").join(right.alias("h"), allowed)
         pairs = pairs.select(F.col("h.node").alias("a"), F.col("l.node").alias("b")).distinct()
         pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.unionAll(pairs)

@@ -189,18 +189,15 @@ def near_groups(
         return sizes & (bits[0] + bits[1] <= apart)
 
 
-    shingles: list[DataFrame] = []
-
     def enrich(live: DataFrame) -> DataFrame:
         """Adds the bands before the bucket's own, so that a pair is made in the first bucket it shares, and the shingles."""
-        if not shingles:
-            nodes = broadcast_if_small(cut(live.select(F.col("node").alias("row")).distinct()), 16)
-            found = _elements(rows.select("row", "text").join(nodes, "row"))
-            bands_of = first.select(F.col("row").alias("node"), "bands").join(nodes.withColumnRenamed("row", "node"), "node")
-            table = saved(found.join(bands_of, "node"), "shingles")
-            shingles.append(broadcast_if_small(table, 4 * F.size("elements") + 8 * F.size("bands") + 64))
+        nodes = broadcast_if_small(cut(live.select(F.col("node").alias("row")).distinct()), 16)
+        found = _elements(rows.select("row", "text").join(nodes, "row"))
+        bands_of = first.select(F.col("row").alias("node"), "bands").join(nodes.withColumnRenamed("row", "node"), "node")
+        table = saved(found.join(bands_of, "node"), "shingles")
+        table = broadcast_if_small(table, 4 * F.size("elements") + 8 * F.size("bands") + 64)
         before = F.slice("bands", 1, F.array_position("bands", F.col("bucket")).cast("int") - 1)
-        return live.join(shingles[0], "node").select(*live.columns, before.alias("before"), "elements")
+        return live.join(table, "node").select(*live.columns, before.alias("before"), "elements")
 
     def must_link(a: str, b: str) -> Column:
         """No earlier bucket is shared, and the shingle sets overlap enough (as numbers of 32 bits, hence hardly less than
