@@ -46,6 +46,7 @@ def linked_groups(
     verify: Callable[[DataFrame], DataFrame],
     enrich: Callable[[DataFrame], DataFrame] | None = None,
     must_link: Callable[[str, str], Column] | None = None,
+    worth: tuple[list[Column], Column] | None = None,
 ) -> DataFrame:
     """(node, root) of all nodes that links connect; nodes are long, root is the smallest of its group.
 
@@ -58,10 +59,12 @@ def linked_groups(
 
     After the first round `enrich`, if given, adds columns to the few rows (bucket, node, root, ...) left before they are joined, and
     `must_link` is also asked in the join: with what those columns hold it can decide about a pair before it becomes a
-    row. What it adds is not kept from round to round, and rows without any partner do not get it.
+    row. What `enrich` adds is not kept from round to round, and rows without any partner do not get it.
+    `worth`, aggregates over a bucket and a condition on them, says which buckets can hold a pair at all.
     """
-    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    ends = broadcast_if_small(cut(ends.filter("low < high").select("bucket")), 16)
+    facts, holds = worth or ([], F.lit(True))
+    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), *facts)
+    ends = broadcast_if_small(cut(ends.filter((F.col("low") < F.col("high")) & holds).select("bucket")), 16)
     live = cut(members.join(ends, "bucket").withColumn("root", F.col("node")))
     found, tried, turn = None, None, 0
     while True:
