@@ -42,7 +42,7 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the lines that came before, nearly or exactly."""
-    return lines.dedup_lines(_read(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+    return lines.dedup_lines(_read(spark, folder, "documents"), radius=None).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
