@@ -114,7 +114,10 @@ def score_matrix(metric: str, queries: np.ndarray, points: np.ndarray) -> np.nda
 
 
 def score_against(metric: str, embedding: Column, query_vector: list[float]) -> Column:
-    """The score of each vector in a column against one query vector; NULL if they cannot be compared."""
+    """The score of each vector in a column against one query vector; NULL if they cannot be compared.
+
+    Declared nondeterministic, so that a filter on the score does not make Spark work it out a second time.
+    """
     check_metric(metric)
     query = np.asarray([query_vector], dtype=np.float64)
 
@@ -122,7 +125,7 @@ def score_against(metric: str, embedding: Column, query_vector: list[float]) ->
     def score(vectors: pa.Array) -> pa.Array:
         return scores_against(metric, query, vectors)
 
-    return score(embedding)
+    return score.asNondeterministic()(embedding)
 
 
 def scores_against(metric: str, query: np.ndarray, vectors: pa.Array) -> pa.Array:

@@ -109,6 +109,19 @@ def result_rows(hits: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def in_order(found: DataFrame, at_most: int, *best: Column) -> DataFrame:
+    """The rows, of which there are `at_most`, from the best on.
+
+    Few rows are numbered in one partition: a sort over a sampled range would fetch their texts twice. The order comes
+    from the numbering, which is used: a mere sort, of a limit or of a single partition, is dropped by the adaptive optimizer
+    where it takes the join below for one row (its rule `OptimizeOneRowPlan`, by the row counts of finished stages).
+    """
+    if at_most > MAX_BROADCAST_HITS:
+        return found.orderBy(*best)
+    numbered = found.withColumn("place", F.row_number().over(Window.orderBy(*best)))
+    return numbered.filter("place > 0").drop("place")
+
+
 def vector_search(
     collection: Collection,
     query: str,
@@ -121,9 +134,8 @@ def vector_search(
     vector = query_vector_for(collection, query, query_vector, embedder)
     hits = nearest(collection, vector, limit, offset)
     found = collection.with_texts(hits, few=limit <= MAX_BROADCAST_HITS)
-    best = [best_first(collection.distance, F.col("score")), F.col("id")]
-    # The limit changes nothing, but makes this a top-k instead of a sort over a sampled range.
-    return result_rows(found.orderBy(*best).limit(limit).withColumn("query", F.lit(query)))
+    found = in_order(found, limit, best_first(collection.distance, F.col("score")), F.col("id"))
+    return result_rows(found.withColumn("query", F.lit(query)))
 
 
 def ranked_legs(
@@ -175,8 +187,8 @@ def search(
         .select("id", "score")
     )
     found = collection.with_texts(hits, few=limit <= MAX_BROADCAST_HITS)
-    best = found.orderBy(F.desc("score"), "id").limit(limit)
-    return result_rows(best.withColumn("query", F.lit(query)))
+    found = in_order(found, limit, F.desc("score"), F.col("id"))
+    return result_rows(found.withColumn("query", F.lit(query)))
 
 
 def ranked_legs_of_many(

@@ -61,6 +61,21 @@ def test_texts_come_from_the_shards_of_the_hits(spark, stored):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("query", ["the word", "what is the"])
+def test_the_last_sort_stays_in_the_final_plan(spark, stored, query):
+    found = S.search(stored, query, 5, 2, query_vector=[1.0] * 16)
+    found.collect()
+    final = plan(found).split("Initial Plan")[0]
+    assert "Final Plan" in final
+    # Above the join that brings the texts there is a sort, and no limit that could take it along.
+    above = final[: re.search(r"BroadcastHashJoin", final).start()]
+    assert "row_number" in above and re.search(r"Sort \[", above) and "TakeOrdered" not in above and "Limit" not in above
+
+
+def test_each_point_is_scored_once(spark, stored):
+    assert plan(S.nearest(stored, [1.0] * 16, 5)).count("ArrowEvalPython") == 1
+
+
 def test_each_layer_is_pruned(spark, stored):
     layered = dataclasses.replace(stored, layers=stored.layers * 3)
     found = S.search(layered, "the word", 5, query_vector=[1.0] * 16)

@@ -79,6 +79,16 @@ def test_search_is_exact(spark, points, metric, query):
         assert [row["QUERY"] for row in found] == [query] * len(expected)
 
 
+@pytest.mark.parametrize("query", ["word0 and word5 near", "what is the"])
+def test_hits_come_best_first_every_time(spark, points, query):
+    vector, keywords = [0.5, 0.5, -1.0, 0.5], S.query_keywords(spark, query)
+    c = collection(spark, points, "Manhattan")
+    expected = [i for i, _ in exact_search(points, query, vector, keywords, "Manhattan", 10, 4)]
+    for _ in range(15):  # the adaptive optimizer once dropped the last sort in one run of seven
+        found = S.search(c, query, 10, 4, query_vector=vector)
+        assert [row["ID"] for row in found.collect()] == expected
+
+
 def _queries(spark, n):
     rng = random.Random(9)
     rows = []
