@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.session import fresh_folder, shared_folder
@@ -28,6 +28,51 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+class Tables:
+    """Tables of one job in the shared folder: `save` gives one that goes when the job is over, `keep` one that stays.
+
+    A kept table may come from saved ones, as it is written before they go.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+        self.shared: list = []
+
+    def share(self, value):
+        """A broadcast of a value of bounded size, let go when the job is over."""
+        self.shared.append(self.spark.sparkContext.broadcast(value))
+        return self.shared[-1]
+
+    def folder(self, purpose: str) -> str:
+        """A new folder that goes when the job is over."""
+        self.folders.append(fresh_folder(self.spark, purpose))
+        return self.folders[-1]
+
+    def save(self, df: DataFrame, purpose: str, *partitioned: str) -> DataFrame:
+        folder = self.folder(purpose)
+        df.write.partitionBy(*partitioned).parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def keep(self, df: DataFrame, purpose: str) -> DataFrame:
+        return saved(df, purpose)
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for folder in self.folders:
+            remove(self.spark, folder)
+        for value in self.shared:
+            value.destroy()
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that this job has made."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows as checkpointed in the shared folder: for small tables within a loop, dropped when no longer used."""
     context = df.sparkSession.sparkContext

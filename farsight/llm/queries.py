@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm import decontam, exact, language, licenses, lines, lm, mixing, near_dups, prefix_tokens, toxicity
+from farsight.llm import (
+    decontam,
+    exact,
+    language,
+    lexical,
+    licenses,
+    lines,
+    lm,
+    mixing,
+    near_dups,
+    negatives,
+    prefix_tokens,
+    token_files,
+    toxicity,
+)
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -79,6 +93,24 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_read(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, labels of every seventh moved on by one."""
+    vectors = _read(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return lexical.search_items(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each document's token ids lie, and their checksum, as read back from the files."""
+    found = token_files.encode_and_index(_read(spark, folder, "documents"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_scores": op2_lm_scores,
@@ -90,6 +122,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_files": op13_token_files,
 }
 
 _MIX_SQL = r"""
@@ -151,4 +186,63 @@ FROM sought s JOIN shingles d ON d.license IS NULL AND d.shingle = s.shingle
 GROUP BY d.doc_id, s.license, s.n HAVING count(*)::DOUBLE / s.n >= 0.8
 """
 
-ORACLE_SQL = {"op10_license_scan": _LICENSE_SQL, "op5_mixing": _MIX_SQL, "op6_exact_dedup": _EXACT_SQL}
+_NEGATIVES_SQL = """
+WITH labelled AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+taking AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM labelled QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, embedding) = 1),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM taking a JOIN taking c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LEXICAL_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+         regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS terms
+  FROM documents),
+items AS (
+  SELECT row_number() OVER () AS item, item_id,
+         unnest(list_distinct(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}'))) AS term
+  FROM benchmark),
+sizes AS (SELECT doc, doc_id, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM sizes),
+counts AS (
+  SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY doc, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, totals GROUP BY term, docs),
+impacts AS (
+  SELECT doc, doc_id, term, 1000000000 * tf // (1000 * tf + 20 * (100 - 50 + 50 * n * docs // all_terms)) AS impact
+  FROM counts JOIN sizes USING (doc), totals),
+scores AS (
+  SELECT item, item_id, doc, doc_id, sum(w * impact)::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item, item_id, doc, doc_id)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY row_number() OVER best <= 50
+"""
+
+ORACLE_SQL = {
+    "op11_hard_negatives": _NEGATIVES_SQL,
+    "op12_lexical_search": _LEXICAL_SQL,
+    "op10_license_scan": _LICENSE_SQL,
+    "op5_mixing": _MIX_SQL,
+    "op6_exact_dedup": _EXACT_SQL,
+}
