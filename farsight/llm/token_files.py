@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -10,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -20,52 +23,107 @@ from tokenizers import Tokenizer
 from farsight.llm.common import Tables, broadcast_if_small, remove, saved
 from farsight.session import fresh_folder
 
+#: Bytes of text encoded at once; a longer text is encoded alone.
+PIECE_BYTES = 4 << 20
 #: A frame is closed once it holds this many ids; a file once it holds this many.
 FRAME_IDS, FILE_IDS = 1 << 15, 1 << 22
-#: Bytes of encoded words a worker remembers, and the longest word it remembers.
-REMEMBERED_BYTES, REMEMBERED_WORD = 48 << 20, 64
+#: Bytes of encoded words a worker remembers, twice at most, and the longest word it remembers.
+REMEMBERED_BYTES, REMEMBERED_WORD = 80 << 20, 64
 #: zstandard's magic numbers: skippable frames of our index and of a seek table, and the end of a seekable file.
 INDEX_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _CHECKED = 0x80  # in the seek table's descriptor: entries have checksums
 _HEAD, _ENTRY, _FOOT = struct.Struct("<II"), struct.Struct("<III"), struct.Struct("<IBI")
 _INDEX = struct.Struct("<QQQ")
+_SIGNS = re.compile(rb"[.,;:!?%&#*=~-]+")
+_LETTERS_SIGNS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?%&#*=~-]*)")
 
 
 class WordEncoder:
-    """The ids that the tokenizers library gives for a text, with those of words between ASCII spaces remembered.
+    """The ids that the tokenizers library gives for texts, each distinct word between ASCII spaces being encoded once.
 
-    That is sound for vocabularies that drop white space and handle what lies between on its own; `path` must name one.
+    That is sound for vocabularies that lower-case, drop white space, split letters from signs and mark the last token of such a
+    run; `path` must name one. A new word of letters with signs after it is looked up, and if need be encoded, in these two parts.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self._last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self._last[[number for token, number in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
         self._size = 0
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        if self._size > REMEMBERED_BYTES:
-            self._known, self._size = {}, 0
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, ...]:
+        """A word as runs of letters and of signs, if it is that simple; else the word itself."""
+        found = _LETTERS_SIGNS.fullmatch(word)
+        if found is None:
+            return (word,)
+        letters, signs = found.groups()
+        if letters.isascii():
+            return (letters.lower(), signs) if signs else (letters.lower(),)
+        return (letters, signs) if signs and letters.decode().isalpha() else (word,)
+
+    def _encode_runs(self, runs: list[bytes]) -> list[bytes]:
+        """Ids of runs of letters or signs, by one call: every run has one token that ends it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self._last[ids]) + 1
+        if len(ends) != len(runs):  # lower-casing has split a run
+            return self._encode_words(runs)
+        data, ends = ids.tobytes(), (4 * ends).tolist()
+        return [data[start:end] for start, end in zip([0, *ends], ends)]
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        new = {word: np.array(code.ids, "<u4").tobytes() for word, code in zip(words, found)}
-        short = {word: ids for word, ids in new.items() if len(word) <= REMEMBERED_WORD}
-        self._known.update(short)
-        self._size += sum(len(word) + len(ids) + 200 for word, ids in short.items())
+        return [np.array(code.ids, "<u4").tobytes() for code in found]
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that are not remembered."""
+        if self._size > REMEMBERED_BYTES:  # what is not met again is forgotten next time
+            self._known, self._older, self._size = {}, self._known, 0
+        parts = {word: self._parts(word) for word in words}
+        found = {p: self._known.get(p) or self._older.get(p) for each in parts.values() for p in each}
+        lost = [part for part, ids in found.items() if ids is None]
+        runs = [part for part in lost if part.decode().isalpha() or _SIGNS.fullmatch(part)]
+        other = list(set(lost).difference(runs))
+        found |= zip(runs, self._encode_runs(runs)) if runs else ()
+        found |= zip(other, self._encode_words(other)) if other else ()
+        new = {word: b"".join([found[part] for part in each]) for word, each in parts.items()}
+        self._remember(found)
+        self._remember(new)
         return new
 
-    def encode(self, text: bytes) -> bytes:
-        """The ids of a text in UTF-8, as little-endian unsigned 32-bit integers."""
-        words = text.split()
-        try:
-            return b"".join(map(self._known.__getitem__, words))
-        except KeyError:
-            new = self._learn([word for word in dict.fromkeys(words) if word not in self._known])
-            known = self._known
-            lost = [word for word in dict.fromkeys(words) if word not in known and word not in new]
-            if lost:  # forgotten on the way
-                new |= self._learn(lost)
-            return b"".join([new[word] if word in new else known[word] for word in words])
+    def _remember(self, found: dict[bytes, bytes]) -> None:
+        short = {word: ids for word, ids in found.items() if len(word) <= REMEMBERED_WORD}
+        self._known |= short
+        self._size += sum(map(len, short)) + sum(map(len, short.values())) + 160 * len(short)
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        ids = list(map(self._known.get, words))
+        if None in ids:
+            older = {word: self._older[word] for word, own in zip(words, ids) if own is None and word in self._older}
+            self._remember(older)
+            new = self._learn([word for word, own in zip(words, ids) if own is None and word not in older])
+            ids = [(older.get(word) or new[word]) if own is None else own for word, own in zip(words, ids)]
+        return ids
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; all texts together should be of a bounded size."""
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        table = self._ids_of(words.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        ids, starts = np.frombuffer(b"".join(table), "<u4"), np.cumsum(sizes) - sizes
+        number = words.indices.to_numpy()
+        each = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        places = np.repeat(starts[number] - ends[:-1], each) + np.arange(ends[-1])
+        cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return np.split(ids[places], cuts[1:-1])
 
 
 @functools.cache
@@ -174,6 +232,17 @@ class FileReader:
         return data
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, as many at once as PIECE_BYTES allow, but one at least."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
+    start = 0
+    while start < len(batch):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PIECE_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -204,12 +273,12 @@ def write_token_files(
         part = context.partitionId() if context else 0
         file = FileWriter(part, 0, frame_ids)
         for batch in batches:
-            ids = batch.column("doc").to_pylist()
-            for doc, text in zip(ids, batch.column("text").cast(pa.large_binary())):
-                file.add(doc, encoder.encode(text.as_py()) + end)
-                if file.ids >= file_ids:
-                    yield pa.RecordBatch.from_pydict({"content": [file.finish()]})
-                    file = FileWriter(part, file.number + 1, frame_ids)
+            for piece in _pieces(batch):
+                for doc, ids in zip(piece.column("doc").to_pylist(), encoder.encode(piece.column("text"))):
+                    file.add(doc, ids.tobytes() + end)
+                    if file.ids >= file_ids:
+                        yield pa.RecordBatch.from_pydict({"content": [file.finish()]})
+                        file = FileWriter(part, file.number + 1, frame_ids)
         if file.docs:
             yield pa.RecordBatch.from_pydict({"content": [file.finish()]})
 
