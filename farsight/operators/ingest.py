@@ -90,5 +90,5 @@ def ingest(
     wrong = seen_vectors.get["wrong_size"]
     if wrong:
         raise ValueError(f"{wrong} vectors do not have {entry['vector_size']} elements")
-    store.publish(entry, [*entry["segments"], segment], entry["model_name"] or embedder.model)
+    store.add_segment(name, segment, embedder.model)
     return ingest_summary(store.read_segment(path), "seen")

@@ -9,9 +9,9 @@ per leg, so what is shuffled depends on the number of legs, not on the number of
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import METRICS, best_first, score_matrix, to_matrix, usable_rows
 from ..functions.text import index_tokens
+from ..session import fresh_folder
+from ..sources.postings import points_with
 
 VECTOR_LEG = ""  # no keyword is empty
 DEFAULT_LIMIT = 10
@@ -31,6 +33,8 @@ RRF_CONSTANT = 60
 # where they are.
 MAX_BLOCK_BYTES = 8 * 1024 * 1024
 SCORES_PER_BLOCK = 4_000_000
+# Points named by postings are broadcast up to this many bytes, which are counted.
+MAX_NAMED_BYTES = 16 * 1024 * 1024
 
 CANDIDATE_SCHEMA = (
     "query_key string, hybrid boolean, leg string, id string, score double, task int"
@@ -112,13 +116,14 @@ class _Leg:
 class LegRanker:
     """The best points of each leg over a stream of blocks; equal scores go by id."""
 
-    def __init__(self, queries: QueryBlock, metric: str, limits: LegLimits):
+    def __init__(self, queries: QueryBlock, metric: str, limits: LegLimits, vector_legs: bool = True):
         self.queries = queries
         self.metric = metric
         self.sign = 1.0 if METRICS[metric] else -1.0
         self.vocabulary = pa.array(queries.vocabulary(), pa.string())
         place = {word: at for at, word in enumerate(self.vocabulary.to_pylist())}
-        self.vector_legs = [_Leg(q, VECTOR_LEG, limits.vector) for q in range(len(queries.keys))]
+        ranked = range(len(queries.keys)) if vector_legs else ()
+        self.vector_legs = [_Leg(q, VECTOR_LEG, limits.vector) for q in ranked]
         self.keyword_legs: dict[int, list[_Leg]] = {}
         for q, keywords in enumerate(queries.keywords):
             for word in keywords:
@@ -141,7 +146,8 @@ class LegRanker:
         points = to_matrix(vectors, self.queries.vectors.shape[1])
         goodness = self.sign * score_matrix(self.metric, self.queries.vectors, points)
         block = _Block(ids)
-        self._offer_all(self.vector_legs, block, np.arange(len(ids)), goodness)
+        if self.vector_legs:
+            self._offer_all(self.vector_legs, block, np.arange(len(ids)), goodness)
         if tokens is None or not len(self.vocabulary):
             return
         for word, rows in self._rows_by_keyword(tokens):
@@ -216,20 +222,25 @@ def with_tokens(points: DataFrame) -> DataFrame:
 
 
 def candidates_broadcast(
-    points: DataFrame, queries: QueryBlock, metric: str, limits: LegLimits
+    points: DataFrame,
+    queries: QueryBlock,
+    metric: str,
+    limits: LegLimits,
+    vector_legs: bool = True,
+    keyword_legs: bool = True,
 ) -> DataFrame:
-    """Candidates of all legs, for a block of queries small enough to send to every task."""
+    """Candidates of all legs, or of one kind only, for a block of queries small enough to send to every task."""
     vocabulary = queries.vocabulary()
     # Only what ranking needs; texts stay behind until the hits are known.
     columns = ["id", "embedding", "tokens"]
-    if not vocabulary:
+    if not vocabulary or not keyword_legs:
         columns.remove("tokens")
     else:
         points = with_tokens(points)
     shared = points.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranker = LegRanker(shared.value, metric, limits)
+        ranker = LegRanker(shared.value, metric, limits, vector_legs)
         for batch in batches:
             _feed(ranker, batch)
         yield ranker.result()
@@ -237,6 +248,37 @@ def candidates_broadcast(
     return points.select(*columns).mapInArrow(run, CANDIDATE_SCHEMA)
 
 
+def candidates_from_postings(
+    parts: Sequence[tuple[DataFrame, DataFrame]],
+    shard_digits: int,
+    queries: QueryBlock,
+    metric: str,
+    limits: LegLimits,
+) -> DataFrame:
+    """Candidates of the keyword legs: of each part of a collection (points, postings of the same rows), only the points that
+    the postings name are looked at, with the keywords they hold; no point's own tokens are read.
+
+    The points named go to the points' tasks if they are few enough to be broadcast (they are counted), else both are shuffled
+    by id, of which there is one a point.
+    """
+    words, found = queries.vocabulary(), []
+    for points, postings in parts:
+        spark = points.sparkSession
+        folder = fresh_folder(spark, "named")
+        points_with(postings, words).write.parquet(folder)
+        named = spark.read.schema("point_id string, tokens array<string>").parquet(folder)
+        size = named.agg(F.sum(F.lit(64) + F.length(F.array_join("tokens", " ")))).first()[0] or 0
+        # The filter keeps every point; without one Spark does not prune shards by a join.
+        placed = named.filter("point_id >= ''")
+        if shard_digits:
+            placed = placed.withColumn("shard", F.substring("point_id", 1, shard_digits))
+        side = F.broadcast(placed) if size <= MAX_NAMED_BYTES else placed
+        keys = [key for key in ("point_id", "shard") if key in placed.columns]
+        chosen = points.drop("tokens").join(side, keys).select("id", "embedding", "tokens")
+        found.append(candidates_broadcast(chosen, queries, metric, limits, vector_legs=False))
+    return reduce(DataFrame.unionAll, found)
+
+
 def query_blocks(queries: DataFrame, dim: int, max_bytes: int = MAX_BLOCK_BYTES) -> Iterator[QueryBlock]:
     """The queries (query_key, keywords, query_vector; saved) in blocks of about `max_bytes`, brought one by one.
 

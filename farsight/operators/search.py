@@ -21,6 +21,7 @@ from .ranking import (
     LegLimits,
     QueryBlock,
     candidates_broadcast,
+    candidates_from_postings,
     fuse,
     query_blocks,
     rank_legs,
@@ -138,6 +139,17 @@ def vector_search(
     return result_rows(found.withColumn("query", F.lit(query)))
 
 
+def leg_candidates(collection: Collection, block: QueryBlock, limits: LegLimits) -> DataFrame:
+    """Candidates of all legs of a block of queries: one pass over the points, or, where the collection has postings, one
+    over the vectors alone, the keyword legs coming from the points that the postings name."""
+    metric = collection.distance
+    if not collection.postings or not block.vocabulary():
+        return candidates_broadcast(collection.points, block, metric, limits)
+    vectors = candidates_broadcast(collection.points, block, metric, limits, keyword_legs=False)
+    parts = list(zip(collection.current, collection.postings))
+    return vectors.unionAll(candidates_from_postings(parts, collection.shard_digits, block, metric, limits))
+
+
 def ranked_legs(
     collection: Collection,
     query: str,
@@ -149,8 +161,7 @@ def ranked_legs(
     block = QueryBlock(
         [ONE_QUERY], np.asarray([query_vector], dtype=np.float64), [list(keywords)]
     )
-    candidates = candidates_broadcast(collection.points, block, collection.distance, limits)
-    return rank_legs(candidates, collection.distance, limits)
+    return rank_legs(leg_candidates(collection, block, limits), collection.distance, limits)
 
 
 def search(
@@ -221,7 +232,7 @@ def ranked_legs_of_many(
     folder = fresh_folder(spark, "queries")
     prepared.select("query_key", "keywords", "query_vector").write.parquet(folder)
     blocks = query_blocks(spark.read.parquet(folder), dim, max_block_bytes)
-    passes = [candidates_broadcast(collection.points, block, metric, limits) for block in blocks]
+    passes = [leg_candidates(collection, block, limits) for block in blocks]
     candidates = reduce(DataFrame.unionAll, passes)
     return rank_legs(candidates, metric, limits)
 

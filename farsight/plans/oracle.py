@@ -116,6 +116,7 @@ _POINTS = """
 """
 _SCORES = {
     "Cosine": ("list_cosine_similarity(v, qv)", "DESC"),
+    "Dot": ("list_inner_product(v, qv)", "DESC"),
     "Euclid": ("list_distance(v, qv)", "ASC"),
     "Manhattan": (
         "list_sum(list_transform(list_zip(v, qv), lambda p: abs(p[1] - p[2])))",
@@ -292,6 +293,10 @@ ORACLE_SQL = {
         FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
     """,
     "keyword_leg": f"{hashed_legs(10, _ITEMS)} SELECT query_id::VARCHAR AS query_key, leg, id, round(score, 6) + 0.0 AS score, rank FROM kept",
+    "search_after_upserts": f"{hashed_hits(10)} SELECT * FROM hits",
+    "vector_topk_cells": " UNION ALL ".join(
+        f"""SELECT '{metric}' AS metric, "ID" AS id, "SCORE" AS score FROM ({topk(metric, 10)})""" for metric in _SCORES
+    ),
     "rrf_fusion": f"{hashed_legs(10, _ITEMS)} SELECT query_id::VARCHAR AS query_key, id, round(score, 9) AS score FROM fused",
     "rrf_fusion_deep": f"{hashed_legs(5000, _ONE_ITEM)} SELECT id, round(score, 9) AS score FROM fused ORDER BY fused.score DESC, id LIMIT 5000",
     "hybrid_search": f"{hashed_hits(10)} SELECT * FROM hits",
@@ -486,3 +491,4 @@ ORACLE_SQL = {
         FROM ({health("src1", "good")} UNION ALL {health("missing", "bad")})
     """,
 }
+ORACLE_SQL["keyword_leg_postings"] = ORACLE_SQL["keyword_leg"]

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.distance import METRICS
 from ..functions.hashing import hash_embed_words
 from ..functions.ids import point_id
 from ..functions.sql import register_search_function
@@ -33,6 +34,7 @@ from ..operators.joins import join_hits
 from ..operators.ranking import LegLimits, fuse
 from ..operators.upsert import keep_last, upsert
 from ..session import fresh_folder
+from ..sources.cells import build_cells
 from ..sources.collection import Collection
 from ..sources.store import CollectionStore
 from ..sources.tables import read_spread
@@ -184,6 +186,50 @@ def keyword_leg(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def upserted_collection(spark: SparkSession, folder: str) -> Collection:
+    """All documents, stored: those with a label came in with a text of another document's kind first. Words are indexed."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", F.lit(1).alias("seq"))
+    labelled = table(spark, folder, "labels").select("doc_id").distinct()
+    older = documents.join(labelled, "doc_id", "left_semi").select(
+        "doc_id", F.reverse("text").alias("text"), F.lit(0).alias("seq")
+    )
+    rest = documents.join(labelled, "doc_id", "left_anti")
+    store = _store(spark)
+    store.create("documents", DIM)
+    for rows in (older.unionAll(rest), documents.join(labelled, "doc_id", "left_semi")):
+        ingest(
+            store, "documents", rows, HashEmbedder(DIM), id_col="doc_id", seq_col="seq", max_chars=None, some_ids=False
+        )
+    store.build_postings("documents")
+    return store.collection("documents")
+
+
+def keyword_leg_postings(spark: SparkSession, folder: str) -> DataFrame:
+    """As `keyword_leg`, but over stored documents, some of them overwritten, by the stored index of words."""
+    collection = upserted_collection(spark, folder)
+    ranked = S.ranked_legs_of_many(collection, items(spark, folder), LegLimits(10), HashEmbedder(DIM))
+    return shown(
+        ranked.select("query_key", "leg", "id", "score", F.col("rank").cast("bigint").alias("rank")), 6, "score"
+    )
+
+
+def search_after_upserts(spark: SparkSession, folder: str) -> DataFrame:
+    """One query over stored documents, some of them overwritten."""
+    query = example_query(spark, folder)
+    hits = S.search(upserted_collection(spark, folder), query, embedder=HashEmbedder(DIM))
+    return shown(hits, 9)
+
+
+def vector_topk_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest vectors by each metric, found in k-means cells."""
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.lit("").alias("text"), "embedding")
+    vector, found = example_vector(spark, folder), []
+    for metric in METRICS:
+        index = build_cells(Collection.from_table("vectors", vectors, DIM, distance=metric))
+        found.append(shown(index.topk(vector, 10).hits.withColumn("metric", F.lit(metric)), 6, "score"))
+    return reduce(DataFrame.unionAll, found)
+
+
 def rrf_fusion(spark: SparkSession, folder: str) -> DataFrame:
     fused = fuse(_item_legs(spark, folder), "Cosine")
     return shown(fused.select("query_key", "id", "score"), 9, "score")
@@ -554,6 +600,9 @@ QUERIES = {
     "score_filter": score_filter,
     "result_contract": result_contract,
     "keyword_leg": keyword_leg,
+    "keyword_leg_postings": keyword_leg_postings,
+    "search_after_upserts": search_after_upserts,
+    "vector_topk_cells": vector_topk_cells,
     "rrf_fusion": rrf_fusion,
     "rrf_fusion_deep": rrf_fusion_deep,
     "vector_topk_small_norm": vector_topk_small_norm,

@@ -34,6 +34,9 @@ class Collection:
     model_name: str | None = None
     shard_digits: int = 0
     layers: tuple[DataFrame, ...] = ()
+    #: Where there is a stored inverted index: the rows of each layer that later ones leave in place, and its postings.
+    current: tuple[DataFrame, ...] = ()
+    postings: tuple[DataFrame, ...] = ()
 
     def __post_init__(self) -> None:
         check_metric(self.distance)

@@ -1,18 +1,23 @@
 """Collections kept as Parquet in a folder all executors share.
 
-    <root>/registry/                                  one row per change, the latest counts
+    <root>/registry/                                  one row per created collection
+    <root>/changes/<name>/<version>.json              its later states, the latest counts
     <root>/collections/<name>/<segment>/shard=<hex>/  points, sorted by point id
+    <root>/collections/<name>/<segment>-postings/     its words, see `postings`
 
-An ingest writes one new segment and makes it visible by adding a row to the registry; a failed or
-refused one leaves nothing visible. Where segments hold the same point the later one counts, so an
+An ingest writes one new segment and makes it visible by making the file of the next version; a failed or
+refused one leaves nothing visible. That file can be made once only: of several writers one makes it, the others look
+again and make the next, so none loses what another has written. Where segments hold the same point the later one counts, so an
 upsert costs as much as the rows it brings, not as much as the collection. `compact` folds segments
-together. A collection takes one writer at a time.
+together.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -24,7 +29,9 @@ from ..functions.sql import register_search_function
 from ..operators.catalog import list_tables
 from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
 from ..operators.upsert import keep_last, overlay
+from . import commits
 from .collection import Collection
+from .postings import read_postings, write_postings
 
 REGISTRY_SCHEMA = (
     "version bigint, name string, vector_size int, distance string, model_name string, "
@@ -37,6 +44,8 @@ POINT_SCHEMA = (
 )
 POINT_COLUMNS = ["point_id", "id", "text", "embedding", "tokens", "seen", "shard"]
 MAX_SHARD_DIGITS = 4
+#: Older versions of a collection's state that are kept.
+KEPT_VERSIONS = 20
 
 
 def view_name(collection: str) -> str:
@@ -52,15 +61,21 @@ class CollectionStore:
 
     # ---- registry
 
-    def _changes(self) -> DataFrame:
-        if not self._exists(self._registry_path):
+    def _created(self) -> DataFrame:
+        if not commits.exists(self.spark, self._registry_path):
             return self.spark.createDataFrame([], REGISTRY_SCHEMA)
         return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self._registry_path)
 
-    def _exists(self, path: str) -> bool:
-        """Asked of the file system itself, so that no other failure to read passes for a missing registry."""
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+    def _changes(self) -> DataFrame:
+        if not commits.names(self.spark, f"{self.root}/changes"):
+            return self._created()
+        changed = self.spark.read.schema(REGISTRY_SCHEMA).json(f"{self.root}/changes/*/*.json")
+        return self._created().unionByName(changed)
+
+    def _versions(self, name: str) -> list[str]:
+        """The files of a collection's states, the latest last."""
+        folder = f"{self.root}/changes/{name.lower()}"
+        return [f"{folder}/{file}" for file, _ in commits.names(self.spark, folder)]
 
     def registry(self) -> DataFrame:
         """The current entry of each collection, read anew at each call."""
@@ -73,7 +88,16 @@ class CollectionStore:
         )
 
     def _find(self, name: str) -> Row | None:
-        mine = self._changes().filter(F.lower("name") == name.lower())
+        """The latest state of a collection; but for new ones this reads one small file."""
+        while versions := self._versions(name):
+            try:
+                found = json.loads(commits.read(self.spark, versions[-1]))
+            except Exception:
+                if commits.exists(self.spark, versions[-1]):
+                    raise
+                continue  # gone since, as later versions have come
+            return Row(**{column: found[column] for column in ["version", *ENTRY_COLUMNS]})
+        mine = self._created().filter(F.lower("name") == name.lower())
         return mine.orderBy(F.desc("version")).limit(1).first()
 
     def entry(self, name: str) -> Row:
@@ -193,14 +217,30 @@ class CollectionStore:
             .parquet(path)
         )
 
-    def publish(self, entry: Row, segments: list[str], model_name: str | None = None) -> None:
-        """Show exactly these segments, unless the collection changed since `entry` was read; a model given binds it."""
-        if self.entry(entry["name"])["version"] != entry["version"]:
-            raise RuntimeError(f"{entry['name']!r} was changed by another writer meanwhile")
-        changed = {**entry.asDict(), "version": entry["version"] + 1, "segments": segments}
-        changed["model_name"] = model_name or entry["model_name"]
-        values = [changed[column] for column in ["version", *ENTRY_COLUMNS]]
-        self._record(self._one_change(*values))
+    def publish(self, name: str, change: Callable[[Row], dict]) -> Row:
+        """Change the state of a collection, by what `change` makes of it, and return the new one.
+
+        There is no look at what others do in between: the file of the next version can be made once, and who comes too
+        late starts anew from the state that has become the latest.
+        """
+        while True:
+            entry = self.entry(name)
+            changed = {**entry.asDict(), **change(entry), "version": entry["version"] + 1}
+            file = f"{self.root}/changes/{name.lower()}/{changed['version']:020d}.json"
+            if commits.create_once(self.spark, file, json.dumps(changed)):
+                for old in self._versions(name)[:-KEPT_VERSIONS]:
+                    commits.delete(self.spark, old)
+                return Row(**changed)
+
+    def add_segment(self, name: str, segment: str, model_name: str | None = None) -> Row:
+        """Show one more segment, over all others; a model given binds the collection to it, or must be its own."""
+
+        def added(entry: Row) -> dict:
+            if model_name and entry["model_name"] not in (None, model_name):
+                raise ValueError(f"{name!r} holds vectors of {entry['model_name']!r}, not of {model_name!r}")
+            return {"segments": [*entry["segments"], segment], "model_name": model_name or entry["model_name"]}
+
+        return self.publish(name, added)
 
     def read_segment(self, path: str) -> DataFrame:
         return self.spark.read.schema(POINT_SCHEMA).parquet(path).select(*POINT_COLUMNS)
@@ -240,7 +280,15 @@ class CollectionStore:
         segment, path = self.new_segment(entry)
         spread = F.pmod(F.xxhash64("point_id"), F.lit(self.writers_per_shard(entry)))
         self.write_points(points.repartition("shard", spread), path)
-        self.publish(entry, [*kept, segment])
+
+        def replaced(current: Row) -> dict:
+            """What came in meanwhile stays above the folded segments."""
+            now = current["segments"]
+            if now[: len(entry["segments"])] != entry["segments"]:
+                raise RuntimeError(f"{name!r} was folded by another writer meanwhile")
+            return {"segments": [*kept, segment, *now[len(entry["segments"]) :]]}
+
+        self.publish(name, replaced)
 
     def writers_per_shard(self, entry: Row) -> int:
         """Into how many parts a shard is hashed, so that all parts together fill the cluster
@@ -248,8 +296,37 @@ class CollectionStore:
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return max(1, 8 * tasks // 16 ** entry["shard_digits"])
 
+    # ---- words
+
+    def _postings_path(self, entry: Row, segment: str) -> str:
+        return f"{self.segment_path(entry['name'], segment)}-postings"
+
+    def _has_postings(self, entry: Row, segment: str) -> bool:
+        return commits.exists(self.spark, f"{self._postings_path(entry, segment)}/_SUCCESS")
+
+    def build_postings(self, name: str) -> int:
+        """Index the words of the segments that have no postings yet, and return their number.
+
+        The searches then find the points of a keyword there (`postings.points_with`). They do so once all segments have
+        postings; after an ingest or a folding this is to be called again, and costs what the new segments cost.
+        """
+        entry = self.entry(name)
+        missing = [segment for segment in entry["segments"] if not self._has_postings(entry, segment)]
+        for segment in missing:
+            write_postings(self._segment(entry, segment), self._postings_path(entry, segment))
+        return len(missing)
+
+    def _current(self, entry: Row) -> tuple[DataFrame, ...]:
+        """The points of each segment that no later one has replaced."""
+        layers = [self._segment(entry, segment) for segment in entry["segments"]]
+        later = [reduce(DataFrame.unionByName, [x.select("point_id") for x in layers[at + 1 :]]) for at in range(len(layers) - 1)]
+        over = [layer.join(ids, "point_id", "left_anti") for layer, ids in zip(layers, later)]
+        return (*over, *layers[len(over) :])
+
     def collection(self, name: str) -> Collection:
         entry = self.entry(name)
+        indexed = bool(entry["segments"]) and all(self._has_postings(entry, segment) for segment in entry["segments"])
+        lists = [read_postings(self.spark, self._postings_path(entry, s)) for s in entry["segments"]] if indexed else []
         return Collection(
             entry["name"],
             self._points_of(entry),
@@ -258,4 +335,6 @@ class CollectionStore:
             entry["model_name"],
             entry["shard_digits"],
             tuple(self._segment(entry, segment) for segment in entry["segments"]),
+            self._current(entry) if indexed else (),
+            tuple(lists),
         )

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,8 @@ from farsight.operators.embedding import HashEmbedder
 from farsight.operators.health import collection_health
 from farsight.operators.ingest import ingest
 from farsight.session import fresh_folder
-from farsight.sources.store import CollectionStore
+from farsight.sources import commits
+from farsight.sources.store import KEPT_VERSIONS, CollectionStore
 from farsight.streaming.ingest import ingest_stream
 
 DIM = 16
@@ -233,10 +236,32 @@ def test_another_model_is_refused(spark, store):
 
 def test_two_writers_do_not_lose_each_other(spark, store):
     store.create("docs", DIM)
-    entry = store.entry("docs")
     load(store, rows(spark, ("a", "one")))
-    with pytest.raises(RuntimeError, match="another writer"):
-        store.publish(entry, ["some-segment"])
+    others = [CollectionStore(spark, store.root) for _ in range(2)]
+    for turn in range(50):
+        with ThreadPoolExecutor(2) as pool:
+            jobs = [pool.submit(other.add_segment, "docs", f"{at}-{turn}") for at, other in enumerate(others)]
+            assert sorted(job.result()["version"] for job in jobs) == [2 + 2 * turn, 3 + 2 * turn]
+    segments = store.entry("docs")["segments"]
+    assert sorted(segments[1:]) == sorted(f"{at}-{turn}" for at in (0, 1) for turn in range(50))
+    assert len(store._versions("docs")) == KEPT_VERSIONS
+    assert store.registry().first()["segments"] == segments
+
+
+def test_a_version_is_made_once(spark, tmp_path):
+    path = f"{tmp_path}/folder/00001.json"
+    assert commits.create_once(spark, path, "first")
+    assert not commits.create_once(spark, path, "second")
+    assert commits.read(spark, path) == "first"
+    assert [name for name, _ in commits.names(spark, f"{tmp_path}/folder")] == ["00001.json"]
+    assert commits.names(spark, f"{tmp_path}/nowhere") == []
+
+
+def test_models_do_not_mix_whoever_comes_first(spark, store):
+    store.create("docs", DIM)
+    store.add_segment("docs", "one", "some-model")
+    with pytest.raises(ValueError, match="some-model"):
+        store.add_segment("docs", "two", "another")
 
 
 def test_ids_are_cast_to_text(spark, store):
