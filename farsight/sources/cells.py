@@ -104,7 +104,7 @@ class CellIndex:
 def build_cells(collection: Collection, folder: str | None = None, cells: int | None = None) -> CellIndex:
     """Cells of all points whose vectors can be compared; `cells` of them at most, by default half the root of the number of points.
 
-    Centres are fitted on a sample of about SAMPLE_PER_CELL vectors a cell, chosen by a hash of the id; every point is then
+    Centres are fitted on the different vectors of a sample of about SAMPLE_PER_CELL a cell, chosen by a hash of the id; every point is then
     put into the cell of the nearest centre. One pass finds the cells, with one shuffle by cell for the files.
     """
     points, dim, unit = collection.points, collection.vector_size, collection.distance == "Cosine"
@@ -129,12 +129,11 @@ def build_cells(collection: Collection, folder: str | None = None, cells: int |
     wanted = min(MAX_CELLS, max(1, round(math.sqrt(n) / 2) if cells is None else cells))
     share = min(1.0, wanted * SAMPLE_PER_CELL / max(1, n))
     chosen = usable.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
-    sample = chosen.mapInArrow(prepare, "v array<double>").select(array_to_vector("v").alias("features"))
-    if sample.isEmpty():
-        sample = usable.mapInArrow(prepare, "v array<double>").select(array_to_vector("v").alias("features"))
+    sample = chosen.mapInArrow(prepare, "v array<double>").distinct().select(array_to_vector("v").alias("features"))
+    fitted = min(wanted, sample.count())  # no more cells than different vectors
     centres = np.zeros((1, dim))
-    if not sample.isEmpty():
-        centres = np.array(KMeans(k=max(2, wanted), maxIter=10, seed=1).fit(sample).clusterCenters())
+    if fitted > 1:
+        centres = np.array(KMeans(k=fitted, maxIter=10, seed=1).fit(sample).clusterCenters())
     shared = spark.sparkContext.broadcast(centres)
     order = 1 if collection.distance == "Manhattan" else 2
 

@@ -160,5 +160,7 @@ def test_cells_give_what_a_scan_gives(spark, metric):
 def test_no_points_no_hits(spark):
     empty = Collection("c", spark.createDataFrame([], "id string, text string, embedding array<float>"), 3)
     assert build_cells(empty).topk([1.0, 2.0, 3.0], 5).hits.count() == 0
+    same = spark.createDataFrame([(f"a{n}", "t", [1.0, 1.0, 0.0]) for n in range(50)], "id string, text string, embedding array<float>")
+    assert [row["id"] for row in build_cells(Collection("c", same, 3), cells=9).topk([1.0, 0.0, 0.0], 2).hits.collect()] == ["a0", "a1"]
     one = spark.createDataFrame([("a", "t", [1.0, 0.0, 0.0])], "id string, text string, embedding array<float>")
     assert [row["id"] for row in build_cells(Collection("c", one, 3)).topk([1.0, 0.0, 0.0], 5).hits.collect()] == ["a"]
