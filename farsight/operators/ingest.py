@@ -90,5 +90,6 @@ def ingest(
     wrong = seen_vectors.get["wrong_size"]
     if wrong:
         raise ValueError(f"{wrong} vectors do not have {entry['vector_size']} elements")
-    store.add_segment(name, segment, embedder.model)
+    covers = store.note_replaced(entry, segment, entry["segments"])
+    store.add_segment(name, segment, embedder.model, store.read_segment(path).count(), tuple(covers))
     return ingest_summary(store.read_segment(path), "seen")

@@ -4,18 +4,25 @@
     <root>/changes/<name>/<version>.json              its later states, the latest counts
     <root>/collections/<name>/<segment>/shard=<hex>/  points, sorted by point id
     <root>/collections/<name>/<segment>-postings/     its words, see `postings`
+    <root>/collections/<name>/<segment>-over-<mark>/  rows of older segments that it replaces, as bitmaps
 
 An ingest writes one new segment and makes it visible by making the file of the next version; a failed or
 refused one leaves nothing visible. That file can be made once only: of several writers one makes it, the others look
-again and make the next, so none loses what another has written. Where segments hold the same point the later one counts, so an
-upsert costs as much as the rows it brings, not as much as the collection. `compact` folds segments
-together.
+again and make the next, so none loses what another has written.
+
+Where segments hold the same point the later one counts. An ingest notes which rows of older segments, by file and position, its
+points replace; readers leave these out where they lie, so neither the base nor the ids of later segments are shuffled at a
+search. `fold` merges neighbours of like size, so that after n small ingests a row has been written about log n
+times; `sweep` deletes what no kept version shows.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 import re
+import time
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -28,24 +35,33 @@ from ..functions.distance import check_metric
 from ..functions.sql import register_search_function
 from ..operators.catalog import list_tables
 from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
-from ..operators.upsert import keep_last, overlay
 from . import commits
 from .collection import Collection
 from .postings import read_postings, write_postings
 
 REGISTRY_SCHEMA = (
     "version bigint, name string, vector_size int, distance string, model_name string, "
-    "shard_digits int, segments array<string>"
+    "shard_digits int, segments array<string>, sizes array<bigint>, covers array<string>"
 )
-ENTRY_COLUMNS = ["name", "vector_size", "distance", "model_name", "shard_digits", "segments"]
+ENTRY_COLUMNS = ["name", "vector_size", "distance", "model_name", "shard_digits", "segments", "sizes", "covers"]
 POINT_SCHEMA = (
     "point_id string, id string, text string, embedding array<float>, tokens array<string>, "
     "seen bigint, shard string"
 )
 POINT_COLUMNS = ["point_id", "id", "text", "embedding", "tokens", "seen", "shard"]
+BITMAP_ROWS = 32_768  # positions in one of Spark's bitmaps
+BITMAP_SCHEMA = "shard string, file string, bucket bigint, bitmap binary"
 MAX_SHARD_DIGITS = 4
 #: Older versions of a collection's state that are kept.
 KEPT_VERSIONS = 20
+#: So many neighbours of like size are merged; sizes are alike if they are within the same power of this number.
+FAN = 4
+#: What no kept version shows is deleted once it is this old, in seconds: readers may still be at it, or a writer about to show it.
+GRACE_SECONDS = 24 * 3600
+#: Bitmaps (of 32,768 rows each) are broadcast to a segment's readers up to this many; they take 4 KiB each.
+MAX_BITMAPS = 4096
+#: New ids are broadcast to find the rows that they replace, up to this many.
+MAX_BROADCAST_IDS = 250_000
 
 
 def view_name(collection: str) -> str:
@@ -139,6 +155,8 @@ class CollectionStore:
                 "model_name",
                 F.lit(shard_digits).alias("shard_digits"),
                 F.array().cast("array<string>").alias("segments"),
+                F.array().cast("array<bigint>").alias("sizes"),
+                F.array().cast("array<string>").alias("covers"),
             )
         )
         return outcome
@@ -172,7 +190,7 @@ class CollectionStore:
                 raise ValueError(f"{name!r} differs from {present['name']!r} only by case")
             return f"exists: {name}"
         size = MODEL_DIMENSIONS[model_name] if vector_size is None else vector_size
-        self._record(self._one_change(0, name, size, distance, model_name, shard_digits, []))
+        self._record(self._one_change(0, name, size, distance, model_name, shard_digits, [], [], []))
         return f"created: {name}"
 
     def list(self, collection_filter: str | None = None) -> DataFrame:
@@ -232,16 +250,89 @@ class CollectionStore:
                     commits.delete(self.spark, old)
                 return Row(**changed)
 
-    def add_segment(self, name: str, segment: str, model_name: str | None = None) -> Row:
-        """Show one more segment, over all others; a model given binds the collection to it, or must be its own."""
+    def add_segment(self, name: str, segment: str, model_name: str | None = None, size: int = 0, covers: tuple = ()) -> Row:
+        """Show one more segment, over all others; a model given binds the collection to it, or must be its own.
+
+        `covers` says over which older segments the rows that it replaces have been noted (`note_replaced`).
+        """
 
         def added(entry: Row) -> dict:
             if model_name and entry["model_name"] not in (None, model_name):
                 raise ValueError(f"{name!r} holds vectors of {entry['model_name']!r}, not of {model_name!r}")
-            return {"segments": [*entry["segments"], segment], "model_name": model_name or entry["model_name"]}
+            return {
+                "segments": [*entry["segments"], segment],
+                "sizes": [*entry["sizes"], size],
+                "covers": [*entry["covers"], *covers],
+                "model_name": model_name or entry["model_name"],
+            }
 
         return self.publish(name, added)
 
+    def note_replaced(self, entry: Row, newer: str, older: list[str]) -> list[str]:
+        """Find, in each of these older segments, the rows whose points a newer one holds too, and store them as bitmaps by file.
+
+        Only ids are read, of the shards of the new points; the new ids are broadcast if they are few, which is counted.
+        """
+        if not older:
+            return []
+        ids = self._segment(entry, newer).select("point_id", "shard")
+        few = ids.count() <= MAX_BROADCAST_IDS
+        # The filter keeps every id; without one Spark does not prune shards by a join.
+        ids = ids.filter("shard >= ''")
+        ids = F.broadcast(ids) if few else ids
+        hits = [
+            self._placed(entry, segment)
+            .select("point_id", "shard", "file", "row", F.lit(segment).alias("older"))
+            .join(ids, ["point_id", "shard"], "left_semi")
+            for segment in older
+        ]
+        bucket, position = F.floor(F.col("row") / BITMAP_ROWS), F.col("row") % BITMAP_ROWS
+        maps = reduce(DataFrame.unionByName, hits).groupBy("older", "shard", "file", bucket.alias("bucket"))
+        mark = uuid.uuid4().hex
+        folder = self._over_path(entry, newer, mark)
+        maps.agg(F.bitmap_construct_agg(position).alias("bitmap")).write.partitionBy("older").parquet(folder)
+        counts = self.spark.read.schema(f"{BITMAP_SCHEMA}, older string").parquet(folder).groupBy("older").count()
+        found = dict(tuple(row) for row in counts.collect())
+        return [f"{newer}>{segment}>{found.get(segment, 0)}>{mark}" for segment in older]
+
+    def _over_path(self, entry: Row, newer: str, mark: str) -> str:
+        return f"{self.segment_path(entry['name'], newer)}-over-{mark}"
+
+    def _placed(self, entry: Row, segment: str) -> DataFrame:
+        """The points of a segment with the file, whose name is unique within its shard, and the row they stand in."""
+        points = self.spark.read.schema(POINT_SCHEMA).parquet(self.segment_path(entry["name"], segment))
+        return points.select(*POINT_COLUMNS, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+    def _current(self, entry: Row) -> tuple[DataFrame, ...]:
+        """The points of each segment that no later one has replaced.
+
+        Rows noted as replaced are left out by position: their bitmaps, merged and broadcast up to MAX_BITMAPS, are looked up by file. Of
+        later segments that have noted nothing about this one (they came in at the same time) the ids are joined.
+        """
+        noted = {(newer, older): (int(count), mark) for newer, older, count, mark in (c.split(">") for c in entry["covers"])}
+        found = []
+        for at, segment in enumerate(entry["segments"]):
+            later = entry["segments"][at + 1 :]
+            known = [(newer, *noted[newer, segment]) for newer in later if (newer, segment) in noted]
+            known = [each for each in known if each[1]]
+            points = self._segment(entry, segment)
+            if known:
+                folders = [f"{self._over_path(entry, newer, mark)}/older={segment}" for newer, _, mark in known]
+                maps = [self.spark.read.schema(BITMAP_SCHEMA).parquet(folder) for folder in folders]
+                maps = reduce(DataFrame.unionByName, maps).groupBy("shard", "file", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+                maps = F.broadcast(maps) if sum(count for _, count, _ in known) <= MAX_BITMAPS else maps
+                placed = self._placed(entry, segment).withColumn("bucket", F.floor(F.col("row") / BITMAP_ROWS))
+                byte = F.expr(f"conv(hex(substring(bitmap, (row % {BITMAP_ROWS}) div 8 + 1, 1)), 16, 10)").cast("bigint")
+                gone = F.getbit(byte, (F.col("row") % 8).cast("int")) == 1
+                points = placed.join(maps, ["shard", "file", "bucket"], "left").filter(F.col("bitmap").isNull() | ~gone)
+                points = points.select(*POINT_COLUMNS)
+            unknown = [newer for newer in later if (newer, segment) not in noted]
+            if unknown:
+                ids = [self._segment(entry, newer).select("point_id") for newer in unknown]
+                points = points.join(reduce(DataFrame.unionByName, ids), "point_id", "left_anti")
+            found.append(points)
+        return tuple(found)
+
     def read_segment(self, path: str) -> DataFrame:
         return self.spark.read.schema(POINT_SCHEMA).parquet(path).select(*POINT_COLUMNS)
 
@@ -251,45 +342,78 @@ class CollectionStore:
     def _points_of(self, entry: Row) -> DataFrame:
         if not entry["segments"]:
             return self.spark.createDataFrame([], POINT_SCHEMA).select(*POINT_COLUMNS)
-        first, *later = entry["segments"]
-        base = self._segment(entry, first)
-        return overlay(base, self._newest(entry, later), "point_id") if later else base
+        return reduce(DataFrame.unionByName, self._current(entry))
 
     def _segment(self, entry: Row, segment: str) -> DataFrame:
         return self.read_segment(self.segment_path(entry["name"], segment))
 
-    def _newest(self, entry: Row, segments: list[str]) -> DataFrame:
-        """The points of several segments, those of later ones first."""
-        if len(segments) == 1:
-            return self._segment(entry, segments[0])
-        numbered = [
-            self._segment(entry, segment).withColumn("age", F.lit(number))
-            for number, segment in enumerate(segments)
-        ]
-        every = reduce(DataFrame.unionByName, numbered)
-        return keep_last(every, "point_id", "age").select(*POINT_COLUMNS)
-
     def compact(self, name: str, later_only: bool = False) -> None:
         """Fold all segments into one; or all but the first, which may be far larger."""
         entry = self.entry(name)
-        kept = entry["segments"][:1] if later_only else []
-        folded = entry["segments"][len(kept) :]
-        if len(folded) < 2:
+        self._merge(entry, int(later_only), len(entry["segments"]))
+
+    def fold(self, name: str, fan: int = FAN) -> int:
+        """Merge the last `fan` or more neighbours of like size, again and again, and return the number of merges.
+
+        Sizes are numbers of points. A row moves to a segment of the next power of `fan` each time it is written, so its writes grow
+        with the logarithm of the number of ingests. With no such neighbours this reads one small file.
+        """
+        for merges in itertools.count():
+            entry = self.entry(name)
+            tiers = [int(math.log(max(1, size), fan) + 1e-9) for size in entry["sizes"]]
+            stop = len(tiers)
+            start = next((at for at in range(stop) if stop - at >= fan and max(tiers[at:]) <= tiers[at] <= tiers[-1]), stop)
+            if start == stop:
+                start = next((at for at in range(stop - fan + 1) if len(set(tiers[at : at + fan])) == 1), stop)
+                stop = min(stop, start + fan)
+            if start == stop:
+                return merges
+            self._merge(entry, start, stop)
+
+    def _merge(self, entry: Row, start: int, stop: int) -> None:
+        """Write the segments from `start` up to `stop` as one; those above keep lying over it."""
+        name, merged = entry["name"], entry["segments"][start:stop]
+        if len(merged) < 2:
             return
-        points = self._newest(entry, folded) if kept else self._points_of(entry)
+        points = reduce(DataFrame.unionByName, self._current(entry)[start:stop])
         segment, path = self.new_segment(entry)
         spread = F.pmod(F.xxhash64("point_id"), F.lit(self.writers_per_shard(entry)))
         self.write_points(points.repartition("shard", spread), path)
+        size = self.read_segment(path).count()
+        covers = self.note_replaced(entry, segment, entry["segments"][:start])
+        for newer in entry["segments"][stop:]:
+            covers += self.note_replaced(entry, newer, [segment])
 
         def replaced(current: Row) -> dict:
-            """What came in meanwhile stays above the folded segments."""
+            """What came in meanwhile stays above."""
             now = current["segments"]
-            if now[: len(entry["segments"])] != entry["segments"]:
+            at = now.index(merged[0]) if merged[0] in now else 0
+            if now[at : at + len(merged)] != merged:
                 raise RuntimeError(f"{name!r} was folded by another writer meanwhile")
-            return {"segments": [*kept, segment, *now[len(entry["segments"]) :]]}
+            kept = [each for each in current["covers"] if not set(each.split(">")[:2]) & set(merged)]
+            return {
+                "segments": [*now[:at], segment, *now[at + len(merged) :]],
+                "sizes": [*current["sizes"][:at], size, *current["sizes"][at + len(merged) :]],
+                "covers": [*kept, *covers],
+            }
 
         self.publish(name, replaced)
 
+    def sweep(self, name: str, grace_seconds: float = GRACE_SECONDS) -> list[str]:
+        """Delete what no kept version of the collection shows and is older than the grace time: refused and folded
+        segments, with their words and bitmaps. Returns the names of the folders."""
+        states = [json.loads(commits.read(self.spark, file)) for file in self._versions(name)[-KEPT_VERSIONS:]]
+        latest = states[-1:] if not grace_seconds else states
+        shown = {segment for state in latest for segment in state["segments"]}
+        folder = f"{self.root}/collections/{self.entry(name)['name']}"
+        gone = []
+        for found, changed in commits.names(self.spark, folder):
+            if found.partition("-")[0] in shown or time.time() - changed / 1000 < grace_seconds:
+                continue
+            commits.delete(self.spark, f"{folder}/{found}")
+            gone.append(found)
+        return gone
+
     def writers_per_shard(self, entry: Row) -> int:
         """Into how many parts a shard is hashed, so that all parts together fill the cluster
         evenly: eight for each shuffle partition."""
@@ -316,13 +440,6 @@ class CollectionStore:
             write_postings(self._segment(entry, segment), self._postings_path(entry, segment))
         return len(missing)
 
-    def _current(self, entry: Row) -> tuple[DataFrame, ...]:
-        """The points of each segment that no later one has replaced."""
-        layers = [self._segment(entry, segment) for segment in entry["segments"]]
-        later = [reduce(DataFrame.unionByName, [x.select("point_id") for x in layers[at + 1 :]]) for at in range(len(layers) - 1)]
-        over = [layer.join(ids, "point_id", "left_anti") for layer, ids in zip(layers, later)]
-        return (*over, *layers[len(over) :])
-
     def collection(self, name: str) -> Collection:
         entry = self.entry(name)
         indexed = bool(entry["segments"]) and all(self._has_postings(entry, segment) for segment in entry["segments"])

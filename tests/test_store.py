@@ -1,3 +1,4 @@
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -359,3 +360,72 @@ def test_names_that_are_no_identifiers(spark, store):
     assert sorted(found) == sorted(wanted) and len(found) == 2
     with pytest.raises(Exception, match="needs a query text"):
         spark.sql(f"SELECT * FROM {function}('')").collect()
+
+
+# ---- segments over segments
+
+
+def versions_of_points(spark, store, turns, size, name="docs"):
+    """Ingests overlapping runs of ids, each with a text of its own; returns what must be there in the end."""
+    wanted = {}
+    for turn in range(turns):
+        pairs = [(f"d{at}", f"text {turn}") for at in range(turn * size // 2, turn * size // 2 + size)]
+        load(store, rows(spark, *pairs), name)
+        wanted |= dict(pairs)
+    return wanted
+
+
+def test_replaced_rows_are_left_out_where_they_lie(spark, store):
+    store.create("docs", DIM)
+    wanted = versions_of_points(spark, store, 5, 8)
+    assert contents(store) == wanted
+    entry = store.entry("docs")
+    assert len(entry["segments"]) == 5 and len(entry["covers"]) == 10 and sum(entry["sizes"]) == 40
+    text = store.points("docs")._jdf.queryExecution().executedPlan().toString()
+    # Only bitmaps are exchanged: no point is, and no later id is joined.
+    assert "SortMergeJoin" not in text and "LeftAnti" not in text and "bitmap" in text
+    assert all("bucket" in each for each in re.findall(r"hashpartitioning\(([^)]*)\)", text))
+
+
+def test_segments_that_came_in_together(spark, store):
+    store.create("docs", DIM)
+    load(store, rows(spark, ("a", "one"), ("b", "one")))
+    looked = store.entry("docs")["segments"]
+    load(store, rows(spark, ("a", "two")))
+    # a third writer who has seen only the first segment
+    segment, path = store.new_segment(store.entry("docs"))
+    store.write_points(store.points("docs").withColumn("text", F.lit("three")), path)
+    covers = store.note_replaced(store.entry("docs"), segment, looked)
+    store.add_segment("docs", segment, None, 2, tuple(covers))
+    assert contents(store) == {"a": "three", "b": "three"}
+
+
+def test_folding_by_size(spark, store):
+    store.create("docs", DIM)
+    wanted, written = {}, 0
+    for turn in range(9):
+        pairs = [(f"d{at}", f"text {turn}") for at in range(turn * 2, turn * 2 + 3)]
+        load(store, rows(spark, *pairs))
+        wanted |= dict(pairs)
+        before = set(store.entry("docs")["segments"])
+        store.fold("docs", fan=3)
+        entry = store.entry("docs")
+        written += 3 + sum(size for s, size in zip(entry["segments"], entry["sizes"]) if s not in before)
+    assert contents(store) == wanted
+    assert len(entry["segments"]) <= 4 and sum(entry["sizes"]) >= len(wanted)
+    assert written <= 3 * 9 * 3  # log of 9 to the base 3, and one more, not 9 / 2
+    assert store.sweep("docs") == []  # too young to go
+    assert store.sweep("docs", grace_seconds=0)
+    left = {name.partition("-")[0] for name, _ in commits.names(spark, f"{store.root}/collections/docs")}
+    assert left == set(entry["segments"]) and contents(store) == wanted
+
+
+def test_folding_in_the_middle_keeps_what_lies_above(spark, store):
+    store.create("docs", DIM)
+    wanted = versions_of_points(spark, store, 5, 4)
+    store._merge(store.entry("docs"), 1, 4)
+    assert contents(store) == wanted and len(store.entry("docs")["segments"]) == 3
+    text = store.points("docs")._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in text
+    store.compact("docs")
+    assert contents(store) == wanted and len(store.entry("docs")["segments"]) == 1
