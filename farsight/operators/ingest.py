@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import point_id
 from ..functions.text import MAX_CHARS, index_tokens, text_for_embedding
 from ..sources.collection import shard_of
+from ..sources.embedding_cache import EmbeddingCache
 from ..sources.store import CollectionStore
 from .cleaning import clean, id_and_text, missing_id_counts, require_some_ids, wrong_size
 from .embedding import BATCH_SIZE, Embedder, embed_column
@@ -35,13 +36,14 @@ def ingest(
     batch_size: int = BATCH_SIZE,
     max_chars: int | None = MAX_CHARS,
     some_ids: bool = True,
+    cache: EmbeddingCache | None = None,
 ) -> DataFrame:
     """Clean, keep the last row per id, embed, check and write; then show the new segment.
 
     The source is read once: vectors of the wrong size are counted while they are written, and the
     segment only becomes visible if there are none. Duplicates are dropped before the model
     is called. Returns (partition_id, upserted_count). A source none of whose rows has an id is refused, unless `some_ids`
-    is false. The first ingest into a collection that names no model binds it to the embedder's.
+    is false. With a `cache` the model sees only texts it has not met before; the source is then read twice. The first ingest into a collection that names no model binds it to the embedder's.
     """
     entry = store.entry(name)
     if entry["model_name"] and entry["model_name"] != embedder.model:
@@ -70,9 +72,14 @@ def ingest(
             text_for_embedding(F.col("text"), max_chars).alias("model_text"),
         )
     )
+    if cache is None:
+        embedded = embed_column(placed, "model_text", embedder, batch_size)
+    else:
+        embedded = cache.embed(placed, "model_text", embedder, entry["vector_size"], batch_size)
+        # The join by text has dealt the rows anew; files want them by shard.
+        embedded = embedded.repartition("shard", spread)
     points = (
-        embed_column(placed, "model_text", embedder, batch_size)
-        .observe(
+        embedded.observe(
             seen_vectors,
             F.count_if(wrong_size(F.col("embedding"), entry["vector_size"])).alias("wrong_size"),
         )
