@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from farsight.llm.common import broadcast_if_small, ranked, saved, text_size
+from farsight.llm.common import broadcast_if_small, fresh_name, ranked, saved, text_size
 
 #: How much of the sum of all sizes the mix holds, how often a row may be taken, and the weights in turn.
 SHARE, MAX_EPOCHS, WEIGHTS = 1.5, 2, (3, 1, 2)
@@ -88,13 +88,14 @@ def mix(
     rows are all without words (nothing is taken either way). Equal ids draw alike. An empty table gives no rows.
     """
     columns = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies", "taken")]
+    own_draw, own_source = fresh_name("draw", columns), fresh_name("mixed_source", columns)
     sized = docs.select(
-        *columns,
-        text_size(F.col(text_col)).alias("size"),
-        draw(F.col(id_col), seed).alias("__draw"),
-        F.col(source_col).alias("__source"),
+        *[F.col(f"`{c}`") for c in columns],
+        text_size(F.col(f"`{text_col}`")).alias("size"),
+        draw(F.col(f"`{id_col}`"), seed).alias(own_draw),
+        F.col(f"`{source_col}`").alias(own_source),
     )
-    small = saved(sized.select(F.col("__source").alias("source"), "size", F.col("__draw").alias("draw")), "sizes")
+    small = saved(sized.select(F.col(own_source).alias("source"), "size", F.col(own_draw).alias("draw")), "sizes")
     targets = source_targets(small, weights, share, max_epochs).withColumn(
         "whole",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)),
@@ -129,10 +130,13 @@ def mix(
         .select("l.*", F.when(F.col("need") > 0, F.coalesce("r.limit", F.lit(1 << 24))).otherwise(0).alias("limit")),
         "mix-plan",
     )
-    copies = F.col("t.whole") + F.when(F.col("l.__draw") < F.col("t.limit"), 1).otherwise(0)
+    copies = F.col("t.whole") + F.when(F.col(f"l.{own_draw}") < F.col("t.limit"), 1).otherwise(0)
     return (
         sized.alias("l")
-        .join(broadcast_if_small(plan, F.coalesce(F.length("source"), F.lit(0)) + 64).alias("t"), F.col("l.__source").eqNullSafe(F.col("t.source")))
+        .join(
+            broadcast_if_small(plan, F.coalesce(F.length("source"), F.lit(0)) + 64).alias("t"),
+            F.col(f"l.{own_source}").eqNullSafe(F.col("t.source")),
+        )
         .select(
             *[F.col(f"l.`{c}`") for c in columns],
             "l.size",
