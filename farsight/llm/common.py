@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.session import fresh_folder, shared_folder
+from farsight.session import fresh_folder
 
 #: A join side is broadcast up to this many bytes, measured; beyond, both sides are shuffled.
 MAX_BROADCAST_BYTES = 16 << 20
@@ -37,6 +37,7 @@ class Tables:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folders: list[str] = []
+        self.latest: dict[str, str] = {}
         self.shared: list = []
 
     def share(self, value):
@@ -54,6 +55,15 @@ class Tables:
         df.write.partitionBy(*partitioned).parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    def renew(self, df: DataFrame, purpose: str) -> DataFrame:
+        """The next state of a table: written from, among others, the state before, which then goes."""
+        table = self.save(df, purpose)
+        old, self.latest[purpose] = self.latest.get(purpose), self.folders[-1]
+        if old is not None:
+            remove(self.spark, old)
+            self.folders.remove(old)
+        return table
+
     def keep(self, df: DataFrame, purpose: str) -> DataFrame:
         return saved(df, purpose)
 
@@ -73,14 +83,6 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows as checkpointed in the shared folder: for small tables within a loop, dropped when no longer used."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def keyed(docs: DataFrame, id_col: str, row: str) -> DataFrame:
     """Adds `row`, a value that no two rows share and that is the same at each evaluation.
 

@@ -8,47 +8,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from farsight.llm.common import broadcast_if_small, cut
+from farsight.llm.common import Tables, broadcast_if_small
 
-#: How many members of a bucket are compared with the rest of it in the first rounds, and in all later ones.
-HUBS = (1, 8, 1024)
+#: How many members of a bucket are compared with the rest of it in the first rounds, and in all later ones. Below 1,000, where
+#: Spark stops to cut a bucket within map tasks before it is sorted.
+HUBS = (1, 8, 512)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, tables: Tables) -> DataFrame:
     """(node, root) of every node in `links` (a, b): root is the smallest node of its connected component.
 
+    The result is the table "groups" of `tables`; `links` may be made from the one before.
+
     Alternates two steps until nothing changes: each node links its larger neighbours to the smallest node near it;
     then its smaller ones. Both need the smallest neighbour only, which is found within map tasks first; a node with very many
     neighbours is a skewed join key, which Spark splits.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
-    state = None
-    while True:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
-            F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")
-        )
-        edges = cut(small.distinct())
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state:
-            break
-        state = seen
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
-    return cut(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots).distinct())
+    with Tables(links.sparkSession) as own:
+        ends = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        edges = own.renew(ends.filter("u > v").distinct(), "edges")
+        state = None
+        while True:
+            both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(least, "u").select(
+                F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")
+            )
+            edges = own.renew(small.distinct(), "edges")
+            seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if seen == state:
+                break
+            state = seen
+        roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
+        return tables.renew(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots).distinct(), "groups")
 
 
 def linked_groups(
     members: DataFrame,
     may_link: Callable[[str, str], Column],
-    verify: Callable[[DataFrame], DataFrame],
-    enrich: Callable[[DataFrame], DataFrame] | None = None,
+    verify: Callable[[DataFrame, Tables], DataFrame],
+    results: Tables,
+    enrich: Callable[[DataFrame, Tables], DataFrame] | None = None,
     must_link: Callable[[str, str], Column] | None = None,
     worth: tuple[list[Column], Column] | None = None,
 ) -> DataFrame:
-    """(node, root) of all nodes that links connect; nodes are long, root is the smallest of its group.
+    """(node, root) of all nodes that links connect, saved in `results`; nodes are long, root is the smallest of its group.
 
     `members` (bucket, node, ...) says which nodes may be linked: those that share a bucket and for which `may_link`,
     given two aliases of such rows, holds; it is checked inside the join. `verify` takes the pairs (a, b) left and returns those that are
@@ -61,38 +67,47 @@ def linked_groups(
     `must_link` is also asked in the join: with what those columns hold it can decide about a pair before it becomes a
     row. What `enrich` adds is not kept from round to round, and rows without any partner do not get it.
     `worth`, aggregates over a bucket and a condition on them, says which buckets can hold a pair at all.
+    What `verify` and `enrich` save in the tables they are given goes at the end of the round, and so does all that a round writes
+    but the pairs tried; the small files of many tasks are read by few ones in the next round.
     """
     facts, holds = worth or ([], F.lit(True))
     ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), *facts)
-    ends = broadcast_if_small(cut(ends.filter((F.col("low") < F.col("high")) & holds).select("bucket")), 16)
-    live = cut(members.join(ends, "bucket").withColumn("root", F.col("node")))
-    found, tried, turn = None, None, 0
-    while True:
-        hubs = HUBS[min(turn, len(HUBS) - 1)]
-        place = F.row_number().over(W.partitionBy("bucket").orderBy("node"))
-        chosen = cut(live.withColumn("place", place).filter(F.col("place") <= hubs).drop("place"))
-        same = (F.col("l.bucket") == F.col("h.bucket")) & (F.col("l.node") > F.col("h.node"))
-        allowed = same & (F.col("l.root") != F.col("h.root")) & may_link("l", "h")
-        left, right = live, chosen
-        if turn and enrich is not None:  # only for rows that have any partner
-            left = enrich(cut(live.alias("l").join(chosen.alias("h"), allowed, "left_semi")))
-            right = enrich(cut(chosen.alias("h").join(live.alias("l"), allowed, "left_semi")))
-            allowed = allowed & must_link("l", "h")
-        pairs = left.alias("l").join(right.alias("h"), allowed)
-        pairs = pairs.select(F.col("h.node").alias("a"), F.col("l.node").alias("b")).distinct()
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        links = verify(pairs).select("a", "b")
-        if found is not None:
-            links = links.unionAll(found.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        found = components(links)
-        rest = live.drop("root").join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        grouped = rest.join(broadcast_if_small(found, 24), "node", "left").select(
-            *rest.columns, F.coalesce("root", "node").alias("root")
-        )
-        grouped = cut(grouped)
-        mixed = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        live = cut(grouped.join(mixed.filter("low < high").select("bucket"), "bucket", "left_semi"))
-        if live.isEmpty():
-            return found
-        turn += 1
+    ends = ends.filter((F.col("low") < F.col("high")) & holds).select("bucket")
+    with Tables(members.sparkSession) as tables:
+        with Tables(members.sparkSession) as own:
+            ends = broadcast_if_small(own.save(ends, "buckets"), 16)
+            live = tables.renew(members.join(ends, "bucket").withColumn("root", F.col("node")), "live")
+        found, tried, turn = None, None, 0
+        while True:
+            with Tables(members.sparkSession) as own:
+                hubs = HUBS[min(turn, len(HUBS) - 1)]
+                place = F.row_number().over(W.partitionBy("bucket").orderBy("node"))
+                chosen = own.save(live.withColumn("place", place).filter(F.col("place") <= hubs).drop("place"), "chosen")
+                same = (F.col("l.bucket") == F.col("h.bucket")) & (F.col("l.node") > F.col("h.node"))
+                allowed = same & (F.col("l.root") != F.col("h.root")) & may_link("l", "h")
+                left, right = live, chosen
+                if turn and enrich is not None:  # only for rows that have any partner
+                    left = live.alias("l").join(chosen.alias("h"), allowed, "left_semi")
+                    right = chosen.alias("h").join(live.alias("l"), allowed, "left_semi")
+                    left, right = (enrich(own.save(side, "partners"), own) for side in (left, right))
+                    allowed = allowed & must_link("l", "h")
+                pairs = left.alias("l").join(right.alias("h"), allowed)
+                pairs = pairs.select(F.col("h.node").alias("a"), F.col("l.node").alias("b")).distinct()
+                pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+                pairs = tables.save(pairs, "pairs")
+                tried = pairs if tried is None else tried.unionAll(pairs)
+                links = verify(pairs, own).select("a", "b")
+                if found is not None:
+                    links = links.unionAll(found.select(F.col("root").alias("a"), F.col("node").alias("b")))
+                found = components(links, tables)
+                rest = live.drop("root").join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti")
+                grouped = rest.join(broadcast_if_small(found, 24), "node", "left").select(
+                    *rest.columns, F.coalesce("root", "node").alias("root")
+                )
+                grouped = own.save(grouped, "grouped")
+                mixed = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                mixed = own.save(mixed.filter("low < high").select("bucket"), "mixed")
+                live = tables.renew(grouped.join(broadcast_if_small(mixed, 16), "bucket", "left_semi"), "live")
+            if live.isEmpty():
+                return results.save(found, "linked-groups")
+            turn += 1

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farsight.llm.common import broadcast_if_small, cut, fresh_name, keyed, saved
+from farsight.llm.common import Tables, broadcast_if_small, fresh_name, keyed, saved
 from farsight.llm.groups import linked_groups
 from farsight.llm.tokens import SHINGLE, counted, mixed, overlap, pieces, shingles_of, words_of
 
@@ -151,29 +151,11 @@ def _alike(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def near_groups(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = THRESHOLD,
-    bands: int = BANDS,
-    rows_per_band: int = ROWS,
-) -> DataFrame:
-    """One row per row of `docs`: id, class_id, kept.
-
-    Texts are multisets of five-word shingles (A-Z in lower case; a shorter text is one shingle). Two texts are linked
-    if the sum of the smaller counts over the sum of the larger ones is at least `threshold`; classes are the connected
-    groups. Equal texts are one from the start, so that a text of very many copies costs as much as a single one; pairs are then
-    sought bucket by bucket of equal bands (see linked_groups) and each is verified exactly.
-
-    class_id is the least id of the class's rows where ids are unique and not null (else a number given to one of its
-    rows); kept marks one row of each class, of least row number. Rows with null text are each a class of their own, so is
-    a text without a word, with its exact copies. An empty table gives no rows. Other columns are not read.
-    """
-    rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "row")
+def _classes(rows: DataFrame, tables: Tables, threshold: float, bands: int, rows_per_band: int) -> DataFrame:
+    """(row, class_id) of the rows (row, text) whose text is not null: the least row of the class."""
     keyed_rows = rows.select("row", F.md5(F.col("text").cast("binary")).alias("key"), "text")
-    marked = saved(signatures(keyed_rows.filter("text IS NOT NULL"), bands, rows_per_band), "signatures")
-    first = saved(
+    marked = tables.save(signatures(keyed_rows.filter("text IS NOT NULL"), bands, rows_per_band), "signatures")
+    first = tables.save(
         marked.groupBy("key").agg(F.min(F.struct("row", "bands", "size", "bits1", "bits2")).alias("one")).select(
             "key", "one.*"
         ),
@@ -188,13 +170,12 @@ def near_groups(
         bits = [F.bit_count(F.col(f"{a}.bits{k}").bitwiseXOR(F.col(f"{b}.bits{k}"))) for k in (1, 2)]
         return sizes & (bits[0] + bits[1] <= apart)
 
-
-    def enrich(live: DataFrame) -> DataFrame:
+    def enrich(live: DataFrame, own: Tables) -> DataFrame:
         """Adds the bands before the bucket's own, so that a pair is made in the first bucket it shares, and the shingles."""
-        nodes = broadcast_if_small(cut(live.select(F.col("node").alias("row")).distinct()), 16)
+        nodes = broadcast_if_small(own.save(live.select(F.col("node").alias("row")).distinct(), "nodes"), 16)
         found = _elements(rows.select("row", "text").join(nodes, "row"))
         bands_of = first.select(F.col("row").alias("node"), "bands").join(nodes.withColumnRenamed("row", "node"), "node")
-        table = saved(found.join(bands_of, "node"), "shingles")
+        table = own.save(found.join(bands_of, "node"), "shingles")
         table = broadcast_if_small(table, 4 * F.size("elements") + 8 * F.size("bands") + 64)
         before = F.slice("bands", 1, F.array_position("bands", F.col("bucket")).cast("int") - 1)
         return live.join(table, "node").select(*live.columns, before.alias("before"), "elements")
@@ -206,20 +187,45 @@ def near_groups(
         enough = both >= F.size(f"{a}.elements") + F.size(f"{b}.elements") - 1e-6
         return ~F.arrays_overlap(f"{a}.before", f"{b}.before") & enough
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
-        texts = saved(rows.select("row", "text").join(broadcast_if_small(ends, 16), "row"), "linked-texts")
+    def verify(pairs: DataFrame, own: Tables) -> DataFrame:
+        ends = own.save(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "ends")
+        texts = own.save(rows.select("row", "text").join(broadcast_if_small(ends, 16), "row"), "linked-texts")
         a, b = (texts.select(F.col("row").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-        return cut(_alike(pairs.join(b, "b").join(a, "a"), threshold))
+        return own.save(_alike(pairs.join(b, "b").join(a, "a"), threshold), "alike")
 
-    roots = linked_groups(members, may_link, verify, enrich, must_link)
-    classes = saved(
+    roots = linked_groups(members, may_link, verify, tables, enrich, must_link)
+    classes = tables.save(
         first.select("key", "row").join(roots, first["row"] == roots["node"]).select("key", "root"), "classes"
     )
     copies = marked.select("row", "key").join(first.select("key", F.col("row").alias("first")), "key")
     found = copies.join(broadcast_if_small(classes, 64), "key", "left").select(
         "row", F.coalesce("root", "first").alias("class_id")
     )
+    return tables.keep(found, "near-classes")
+
+
+def near_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    bands: int = BANDS,
+    rows_per_band: int = ROWS,
+) -> DataFrame:
+    """One row per row of `docs`: id, class_id, kept.
+
+    Texts are multisets of five-word shingles (A-Z in lower case; a shorter text is one shingle). Two texts are linked
+    if the sum of the smaller counts over the sum of the larger ones is at least `threshold`; classes are the connected
+    groups. Equal texts are one from the start, so that a text of very many copies costs as much as a single one; pairs are then
+    sought bucket by bucket of equal bands (see linked_groups) and each is verified exactly.
+
+    class_id is the least id of the class's rows where ids are unique and not null (else a number given to one of its
+    rows); kept marks one row of each class, of least row number. Rows with null text are each a class of their own, so is
+    a text without a word, with its exact copies. An empty table gives no rows. Other columns are not read.
+    """
+    rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "row")
+    with Tables(docs.sparkSession) as tables:
+        found = _classes(rows, tables, threshold, bands, rows_per_band)
     # the root is the least row of the class, as every row met first for its text is the least of that text
     return rows.select("id", "row").join(found, "row", "left").select(
         F.col("id").alias(id_col),

@@ -62,7 +62,7 @@ def test_pipeline(spark, tmp_path):
     rows, item = folder_of(spark, str(tmp_path))
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     model = language.CompressionClassifier(language.language_dictionaries(docs))
-    rows = [r for r in rows if r[1] and re.search(r"[^\W\d_]", r[1]) and model.best(r[1])[1] > 0]
+    rows = [r for r in rows if r[1] and re.search(r"[^\W\d_]", r[1]) and model.best(r[1])[1] > language.MARGIN]
     assert len(rows) > 40
     left = brute_lines([(i, t) for i, t, _ in rows])
     rows = [(i, left[i], s) for i, t, s in rows if left[i] == t or left[i].strip(" ")]

@@ -174,7 +174,8 @@ def brute_lines(rows):
     import xxhash
 
     def norm(line):
-        return line.lower().strip(lines.ENDS)
+        whole, core = line.lower().strip(lines.BLANKS), line.lower().strip(lines.ENDS)
+        return core if not core or len(core) >= max(20, 0.8 * len(whole)) else whole
 
     def print_of(line):
         words = regex.split(r"[^\p{L}]+", line)
@@ -235,6 +236,33 @@ def test_lines(table):
     assert found == brute_lines(rows)
 
 
+def test_short_lines_keep_digits_and_signs(table):
+    rows = [(1, "Chapter 1\nTotal: 15\nC++"), (2, "Chapter 2\nTotal: 20\nC#"), (3, "  chapter 2\nx 1234567890123456789012")]
+    rows += [(4, "x 9999999999999999999999"), (5, "- The same words in a longer line, page 7"), (6, "the same words in a longer line, page 12.")]
+    found = {row["doc_id"]: row["text"] for row in lines.dedup_lines(table(rows)).collect()}
+    assert found == brute_lines(rows)
+    assert found[2] == rows[1][1] and found[3] == "x 1234567890123456789012" and found[4] and found[6] == ""
+
+
+def test_clashing_and_dotted_names(spark):
+    df = spark.createDataFrame([(1, "a b c d", "s"), (2, "a b c d", None)], "doc_id long, text string, source string")
+    names = "row row_gone gone draw mixed_source draw_ __draw __source limit need whole stays first"
+    df = df.selectExpr("*", *(f"'{n}' AS {n}" for n in names.split()), "'x' AS `with.dot`")
+    assert [r["row_gone"] for r in lines.dedup_lines(df).collect()] == ["row_gone"] * 2
+    found = mixing.mix(df).collect()
+    assert all(r["draw"] == "draw" and r["mixed_source"] == "mixed_source" and r["with.dot"] == "x" for r in found)
+
+
+def test_only_results_are_left_in_the_shared_folder(spark, table):
+    import pathlib
+
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    assert lines.dedup_lines(table(line_rows())).count() and near_dups.near_groups(table(near_rows())).count()
+    left = sorted(p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before)
+    assert left == ["lines-to-drop", "near-classes"]
+
+
 def test_lines_of_odd_rows(table):
     found = lines.dedup_lines(table(ODD)).collect()
     assert len(found) == len(ODD)
