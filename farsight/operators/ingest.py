@@ -9,8 +9,9 @@ from ..functions.ids import point_id
 from ..functions.text import MAX_CHARS, index_tokens, text_for_embedding
 from ..sources.collection import shard_of
 from ..sources.embedding_cache import EmbeddingCache
+from ..sources.statistics import gathered, write_statistics
 from ..sources.store import CollectionStore
-from .cleaning import clean, id_and_text, missing_id_counts, require_some_ids, wrong_size
+from .cleaning import clean, id_and_text, missing_id_counts, require_some_ids
 from .embedding import BATCH_SIZE, Embedder, embed_column
 from .upsert import keep_last
 
@@ -81,7 +82,7 @@ def ingest(
     points = (
         embedded.observe(
             seen_vectors,
-            F.count_if(wrong_size(F.col("embedding"), entry["vector_size"])).alias("wrong_size"),
+            *gathered(entry["vector_size"]),
         )
         .withColumn("tokens", index_tokens(F.col("text")))
     )
@@ -94,9 +95,11 @@ def ingest(
             counts = rows.agg(*missing_id_counts()).first()
             require_some_ids(counts["rows"], counts["without_id"])
         return ingest_summary(store.read_segment(path), "seen")
-    wrong = seen_vectors.get["wrong_size"]
+    facts = seen_vectors.get
+    wrong = facts["wrong_size"]
     if wrong:
         raise ValueError(f"{wrong} vectors do not have {entry['vector_size']} elements")
+    write_statistics(store.spark, facts, store.facts_path(entry, segment))
     covers = store.note_replaced(entry, segment, entry["segments"])
-    store.add_segment(name, segment, embedder.model, store.read_segment(path).count(), tuple(covers))
+    store.add_segment(name, segment, embedder.model, facts["points"], tuple(covers))
     return ingest_summary(store.read_segment(path), "seen")

@@ -491,4 +491,12 @@ ORACLE_SQL = {
         FROM ({health("src1", "good")} UNION ALL {health("missing", "bad")})
     """,
 }
+ORACLE_SQL["collection_health_sketch"] = """
+    WITH again AS (SELECT doc_id IN (SELECT doc_id FROM labels) AS twice, coalesce(text, '') AS text FROM documents)
+    SELECT count(*) + count_if(twice)::BIGINT AS points, count_if(twice)::BIGINT AS replaced,
+        0::BIGINT AS no_id, 0::BIGINT AS no_vector, 0::BIGINT AS wrong_size,
+        sum(strlen(text) * (1 + twice::INT))::BIGINT AS text_bytes, max(length(text))::BIGINT AS longest,
+        true AS distinct_near, 'PASS' AS status
+    FROM again
+"""
 ORACLE_SQL["keyword_leg_postings"] = ORACLE_SQL["keyword_leg"]

@@ -28,7 +28,7 @@ from ..operators.catalog import list_tables
 from ..operators.cleaning import clean, id_and_text
 from ..operators.creation import plan_creation
 from ..operators.embedding import HashEmbedder, embed_column
-from ..operators.health import health_report
+from ..operators.health import collection_health, health_report
 from ..operators.ingest import ingest
 from ..operators.joins import join_hits
 from ..operators.ranking import LegLimits, fuse
@@ -36,6 +36,7 @@ from ..operators.upsert import keep_last, upsert
 from ..session import fresh_folder
 from ..sources.cells import build_cells
 from ..sources.collection import Collection
+from ..sources.statistics import ERRORS, HLL_ERROR
 from ..sources.store import CollectionStore
 from ..sources.tables import read_spread
 from ..streaming.ingest import ingest_stream
@@ -186,7 +187,7 @@ def keyword_leg(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def upserted_collection(spark: SparkSession, folder: str) -> Collection:
+def upserted_store(spark: SparkSession, folder: str, indexed: bool = True) -> CollectionStore:
     """All documents, stored: those with a label came in with a text of another document's kind first. Words are indexed."""
     documents = table(spark, folder, "documents").select("doc_id", "text", F.lit(1).alias("seq"))
     labelled = table(spark, folder, "labels").select("doc_id").distinct()
@@ -200,8 +201,13 @@ def upserted_collection(spark: SparkSession, folder: str) -> Collection:
         ingest(
             store, "documents", rows, HashEmbedder(DIM), id_col="doc_id", seq_col="seq", max_chars=None, some_ids=False
         )
-    store.build_postings("documents")
-    return store.collection("documents")
+    if indexed:
+        store.build_postings("documents")
+    return store
+
+
+def upserted_collection(spark: SparkSession, folder: str) -> Collection:
+    return upserted_store(spark, folder).collection("documents")
 
 
 def keyword_leg_postings(spark: SparkSession, folder: str) -> DataFrame:
@@ -573,7 +579,7 @@ def collection_filter(spark: SparkSession, folder: str) -> DataFrame:
     return list_tables(names.distinct(), FILTER)
 
 
-def collection_health(spark: SparkSession, folder: str) -> DataFrame:
+def example_health(spark: SparkSession, folder: str) -> DataFrame:
     """The example collection, and one in which some ids and vectors are wrong."""
     good = example_collection(spark, folder).points
     bad = good.select(
@@ -591,6 +597,16 @@ def collection_health(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def collection_health_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """What is known of the stored documents, some of them overwritten, without reading any, and the verdict on them."""
+    store = upserted_store(spark, folder, indexed=False)
+    verdict = collection_health(store, "documents", HashEmbedder(DIM), exact=False).filter(F.col("check") == "verdict")
+    facts = store.statistics("documents")
+    near = F.abs(F.col("distinct_ids") / (F.col("points") - F.col("replaced")) - 1) <= ERRORS * HLL_ERROR
+    columns = ["points", "replaced", "no_id", "no_vector", "wrong_size", "text_bytes", "longest"]
+    return facts.select(*columns, near.alias("distinct_near")).join(F.broadcast(verdict.select("status")))
+
+
 QUERIES = {
     "vector_topk_cosine": vector_topk("Cosine"),
     "vector_topk_dot": vector_topk_dot,
@@ -631,5 +647,6 @@ QUERIES = {
     "create_collections": create_collections,
     "list_collections": list_collections,
     "collection_filter": collection_filter,
-    "collection_health": collection_health,
+    "collection_health": example_health,
+    "collection_health_sketch": collection_health_sketch,
 }

@@ -4,6 +4,7 @@
     <root>/changes/<name>/<version>.json              its later states, the latest counts
     <root>/collections/<name>/<segment>/shard=<hex>/  points, sorted by point id
     <root>/collections/<name>/<segment>-postings/     its words, see `postings`
+    <root>/collections/<name>/<segment>-facts/        its counts and sketches, see `statistics`
     <root>/collections/<name>/<segment>-over-<mark>/  rows of older segments that it replaces, as bitmaps
 
 An ingest writes one new segment and makes it visible by making the file of the next version; a failed or
@@ -27,7 +28,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +39,7 @@ from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
 from . import commits
 from .collection import Collection
 from .postings import read_postings, write_postings
+from .statistics import gathered, merged, write_statistics
 
 REGISTRY_SCHEMA = (
     "version bigint, name string, vector_size int, distance string, model_name string, "
@@ -378,8 +380,10 @@ class CollectionStore:
         points = reduce(DataFrame.unionByName, self._current(entry)[start:stop])
         segment, path = self.new_segment(entry)
         spread = F.pmod(F.xxhash64("point_id"), F.lit(self.writers_per_shard(entry)))
-        self.write_points(points.repartition("shard", spread), path)
-        size = self.read_segment(path).count()
+        facts = Observation()
+        self.write_points(points.repartition("shard", spread).observe(facts, *gathered(entry["vector_size"])), path)
+        write_statistics(self.spark, facts.get, self.facts_path(entry, segment))
+        size = facts.get["points"]
         covers = self.note_replaced(entry, segment, entry["segments"][:start])
         for newer in entry["segments"][stop:]:
             covers += self.note_replaced(entry, newer, [segment])
@@ -420,6 +424,33 @@ class CollectionStore:
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return max(1, 8 * tasks // 16 ** entry["shard_digits"])
 
+    # ---- facts
+
+    def facts_path(self, entry: Row, segment: str) -> str:
+        return f"{self.segment_path(entry['name'], segment)}-facts"
+
+    def statistics(self, name: str) -> DataFrame:
+        """One row of facts of a collection, see `statistics.merged`, with `noted`: whether every replaced point is among those
+        counted. Only the small tables beside the segments are read; segments written without them are read once to make them."""
+        entry = self.entry(name)
+        for segment in entry["segments"]:
+            if not commits.exists(self.spark, f"{self.facts_path(entry, segment)}/_SUCCESS"):
+                row = self._segment(entry, segment).agg(*gathered(entry["vector_size"])).first()
+                write_statistics(self.spark, row.asDict(), self.facts_path(entry, segment))
+        noted = [c.split(">") for c in entry["covers"]]
+        at = {segment: place for place, segment in enumerate(entry["segments"])}
+        maps = []
+        for older in entry["segments"]:
+            folders = [self._over_path(entry, n, mark) for n, o, count, mark in noted if o == older and n in at and int(count)]
+            if folders:
+                found = [self.spark.read.schema(BITMAP_SCHEMA).parquet(f"{folder}/older={older}") for folder in folders]
+                found = reduce(DataFrame.unionByName, found).groupBy("shard", "file", "bucket")
+                maps.append(found.agg(F.bitmap_or_agg("bitmap").alias("bitmap")).select("bitmap"))
+        pairs = {(n, o) for n, o, *_ in noted}
+        whole = all((n, o) in pairs for o in at for n in at if at[n] > at[o])
+        facts = merged(self.spark, [self.facts_path(entry, segment) for segment in entry["segments"]], maps)
+        return facts.withColumn("noted", F.lit(whole))
+
     # ---- words
 
     def _postings_path(self, entry: Row, segment: str) -> str:

@@ -429,3 +429,43 @@ def test_folding_in_the_middle_keeps_what_lies_above(spark, store):
     assert "LeftAnti" not in text
     store.compact("docs")
     assert contents(store) == wanted and len(store.entry("docs")["segments"]) == 1
+
+
+# ---- facts kept beside the segments
+
+
+def test_statistics_of_an_upserted_collection(store, spark):
+    store.create("docs", DIM)
+    load(store, rows(spark, *((str(k), "word " * (k % 7)) for k in range(600))))
+    load(store, rows(spark, *((str(k), "other words") for k in range(500, 900))))
+    load(store, rows(spark, ("0", "last"), ("899", "last"), ("new", "last")))
+    found = store.statistics("docs").first()
+    assert (found["points"], found["replaced"], found["noted"]) == (1003, 102, True)
+    assert (found["no_id"], found["no_vector"], found["wrong_size"], found["longest"]) == (0, 0, 0, 30)
+    assert abs(found["distinct_ids"] - 901) <= 0.065 * 901 and found["median_length"] == 11
+    exact = collection_health(store, "docs", HashEmbedder(DIM)).select("place", "check", "status").collect()
+    sketch = collection_health(store, "docs", HashEmbedder(DIM), exact=False)
+    assert sketch.select("place", "check", "status").collect() == exact
+    assert sketch.filter("check = 'has points'").first()["detail"] == "901 points"
+    store.compact("docs")
+    assert store.statistics("docs").select("points", "replaced").first() == (901, 0)
+    assert abs(store.statistics("docs").first()["distinct_ids"] - 901) <= 0.065 * 901
+
+
+def test_sketch_report_reads_no_points(store, spark):
+    store.create("docs", DIM)
+    load(store, rows(spark, ("a", "one"), ("b", "two")))
+    load(store, rows(spark, ("b", "three")))
+    files = store.statistics("docs").inputFiles()
+    assert files and all("-facts/" in file or "-over-" in file for file in files)
+
+
+def test_statistics_of_an_empty_collection_and_of_segments_without_facts(store, spark):
+    store.create("docs", DIM)
+    found = store.statistics("docs").first()
+    assert (found["points"], found["replaced"], found["distinct_ids"], found["median_length"]) == (0, 0, 0, None)
+    assert collection_health(store, "docs", HashEmbedder(DIM), exact=False).filter("check = 'verdict'").first()["status"] == "FAIL"
+    load(store, rows(spark, ("a", "one"), ("b", "three")))
+    entry = store.entry("docs")
+    commits.delete(spark, store.facts_path(entry, entry["segments"][0]))
+    assert store.statistics("docs").select("points", "distinct_ids", "longest").first() == (2, 2, 5)
