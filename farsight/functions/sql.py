@@ -32,13 +32,13 @@ SCALAR_FUNCTIONS = {
         array_distinct(filter(farsight_text_words(t),
             w -> length(w) BETWEEN {INDEX_TOKEN_LENGTH[0]} AND {INDEX_TOKEN_LENGTH[1]}))
     """,
-    "farsight_query_keywords(t STRING) RETURNS ARRAY<STRING>": f"""
+    f"farsight_query_keywords(t STRING, most INT DEFAULT {MAX_KEYWORDS}) RETURNS ARRAY<STRING>": f"""
         aggregate(
             regexp_extract_all(translate(t, '{ASCII_UPPER}', '{ASCII_UPPER.lower()}'),
                                '{ASCII_WORD}', 0),
             struct(CAST(array() AS ARRAY<STRING>) AS found, CAST(NULL AS STRING) AS previous),
             (acc, w) -> CASE
-                WHEN size(acc.found) >= {MAX_KEYWORDS} THEN acc
+                WHEN size(acc.found) >= most THEN acc
                 WHEN length(w) >= {MIN_KEYWORD_LENGTH} AND w NOT IN ({_STOP_LIST})
                      AND NOT array_contains(acc.found, w)
                 THEN struct(
@@ -48,7 +48,7 @@ SCALAR_FUNCTIONS = {
                         THEN array(w, acc.previous || w) ELSE array(w) END) AS found,
                     w AS previous)
                 ELSE struct(acc.found AS found, CAST(NULL AS STRING) AS previous) END,
-            acc -> slice(acc.found, 1, {MAX_KEYWORDS}))
+            acc -> if(most IS NULL, acc.found, slice(acc.found, 1, most)))
     """,
     "farsight_bucket_counts(hashes ARRAY<STRING>, dim INT) RETURNS ARRAY<DOUBLE>": """
         transform(sequence(0, dim - 1), d -> aggregate(
@@ -109,10 +109,10 @@ def register_search_function(
     task_groups: int = 256,
     default_limit: int = 10,
 ) -> None:
-    """`function(query[, k[, offset]])` returns ID, TEXT, SCORE, QUERY by hybrid search in a view of points.
+    """`function(query[, k[, offset[, keywords]]])` returns ID, TEXT, SCORE, QUERY by hybrid search in a view of points.
 
-    The view has id, text, embedding and perhaps tokens, and is compared by `metric`. k is `default_limit` if left out; an
-    empty or NULL query is refused. Without an embedder queries get hashed vectors, which plain SQL can work out.
+    The view has id, text, embedding and perhaps tokens, and is compared by `metric`. k is `default_limit` if left out, so many
+    keywords count (twelve if left out, NULL: all); an empty or NULL query is refused. Without an embedder queries get hashed vectors, which plain SQL can work out.
     """
     check_metric(metric)
     register_functions(spark)
@@ -130,7 +130,8 @@ def register_search_function(
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {function}(
-            q STRING, k INT DEFAULT {default_limit}, skipped INT DEFAULT 0)
+            q STRING, k INT DEFAULT {default_limit}, skipped INT DEFAULT 0,
+            most_keywords INT DEFAULT {MAX_KEYWORDS})
         RETURNS TABLE(ID STRING, TEXT STRING, SCORE DOUBLE, QUERY STRING)
         RETURN
         SELECT p.id, p.text, best.score, q
@@ -161,7 +162,7 @@ def register_search_function(
                                         SELECT if(coalesce(q, '') = '',
                                                   CAST(raise_error('a search needs a query text') AS ARRAY<FLOAT>),
                                                   {vector}) AS vector,
-                                               farsight_query_keywords(q) AS keywords
+                                               farsight_query_keywords(q, most_keywords) AS keywords
                                     ) ON true
                                 )
                                 WHERE score IS NOT NULL AND id IS NOT NULL

@@ -292,6 +292,54 @@ def query_blocks(queries: DataFrame, dim: int, max_bytes: int = MAX_BLOCK_BYTES)
         yield QueryBlock.from_arrow(queries.filter(block == number).toArrow(), dim)
 
 
+def candidates_dealt(
+    points: DataFrame, queries: DataFrame, metric: str, dim: int, limits: LegLimits, blocks: int = 1
+) -> DataFrame:
+    """Candidates of all legs for a table of queries (query_key, keywords, query_vector), none of which the driver sees.
+
+    Points are dealt by a hash of their id, queries in `blocks` by one of their key, and each pair of a slice and a block
+    is a task, which reads its queries first and then streams its points. Both are shuffled: points once a block (id,
+    vector and tokens), queries once a slice. A task holds one block of queries and the best of their legs.
+    """
+    slices = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    part = (F.col("block") * slices + F.col("slice")).cast("int").alias("part")
+    asking = queries.select(
+        "query_key",
+        "keywords",
+        F.col("query_vector").cast("array<double>").alias("query_vector"),
+        F.pmod(F.xxhash64("query_key"), F.lit(blocks)).alias("block"),
+        every_slice.alias("slice"),
+    ).select(part, F.lit(0).alias("turn"), "query_key", "keywords", "query_vector")
+    asked = with_tokens(points.filter("id IS NOT NULL")).select(
+        "id",
+        "embedding",
+        "tokens",
+        F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"),
+        every_block.alias("block"),
+    ).select(part, F.lit(1).alias("turn"), "id", "embedding", "tokens")
+    dealt = asking.unionByName(asked, allowMissingColumns=True)
+    placed = dealt.repartitionById(slices * blocks, "part").sortWithinPartitions("turn")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asking, ranker = [], None
+        for batch in batches:
+            first_point = int(np.searchsorted(batch.column("turn").to_numpy(), 1))
+            if first_point:
+                asking.append(batch.slice(0, first_point))
+            if first_point == len(batch) or not asking:
+                continue
+            if ranker is None:
+                block = QueryBlock.from_arrow(pa.Table.from_batches(asking), dim)
+                ranker = LegRanker(block, metric, limits)
+            _feed(ranker, batch.slice(first_point))
+        if ranker is not None:
+            yield ranker.result()
+
+    return placed.mapInArrow(run, CANDIDATE_SCHEMA)
+
+
 def rank_legs(candidates: DataFrame, metric: str, limits: LegLimits) -> DataFrame:
     """Number the rows of each leg from 1 and cut the leg.
 

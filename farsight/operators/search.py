@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,6 +22,7 @@ from .ranking import (
     LegLimits,
     QueryBlock,
     candidates_broadcast,
+    candidates_dealt,
     candidates_from_postings,
     fuse,
     query_blocks,
@@ -29,6 +31,8 @@ from .ranking import (
 
 # Hits, an id and a score each, are broadcast to fetch their texts up to this many.
 MAX_BROADCAST_HITS = 100_000
+# Queries go through the driver to the points in up to so many blocks; more are dealt to tasks together with the points.
+MAX_BROADCAST_BLOCKS = 4
 # Texts of queries are broadcast up to this many bytes, which are counted.
 MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
@@ -210,9 +214,11 @@ def ranked_legs_of_many(
     unicode_keywords: bool = False,
     max_keywords: int | None = MAX_KEYWORDS,
     max_block_bytes: int = MAX_BLOCK_BYTES,
+    dealt_blocks: int = 0,
 ) -> DataFrame:
     """The legs of a table of queries (query_id, query[, query_vector]), as `ranked_legs` has them for one; the key of
-    a query is its id as text."""
+    a query is its id as text. With `dealt_blocks` queries and points are dealt to tasks in so many blocks of queries, lazily
+    and not through the driver."""
     given = "query_vector" in queries.columns
     worded = queries.select(
         F.col("query_id").cast("string").alias("query_key"),
@@ -228,6 +234,9 @@ def ranked_legs_of_many(
         )
 
     metric, dim = collection.distance, collection.vector_size
+    if dealt_blocks:
+        dealt = candidates_dealt(collection.points, prepared, metric, dim, limits, dealt_blocks)
+        return rank_legs(dealt, metric, limits)
     spark = collection.points.sparkSession
     folder = fresh_folder(spark, "queries")
     prepared.select("query_key", "keywords", "query_vector").write.parquet(folder)
@@ -247,11 +256,14 @@ def search_many(
     unicode_keywords: bool = False,
     max_keywords: int | None = MAX_KEYWORDS,
     max_block_bytes: int = MAX_BLOCK_BYTES,
+    dealt: bool | None = None,
 ) -> DataFrame:
     """Hybrid search for each row of a table (query_id, query[, query_vector]).
 
-    Returns query_id, ID, TEXT, SCORE, QUERY. Queries without keywords keep the raw metric. The points are never moved:
-    queries are sent to them in blocks of about `max_block_bytes`, one pass over the points each.
+    Returns query_id, ID, TEXT, SCORE, QUERY. Queries without keywords keep the raw metric. Few queries are sent to the
+    points, which then stay in place, in blocks of about `max_block_bytes`, one pass over the points each; where that makes
+    more than MAX_BROADCAST_BLOCKS, or with `dealt`, queries and points are dealt to tasks and no query passes through
+    the driver. Queries are counted at once; when dealt they are read, and embedded, as often as the result is.
     """
     _check(limit, offset)
     given = "query_vector" in queries.columns
@@ -269,8 +281,19 @@ def search_many(
         raise ValueError("query_id must be unique and not NULL")
 
     limits, metric = LegLimits(limit + offset), collection.distance
+    size = (sizes["bytes"] or 0) + 8 * collection.vector_size * sizes["rows"]
+    blocks = max(1, math.ceil(size / max_block_bytes))
+    if dealt is None:
+        dealt = blocks > MAX_BROADCAST_BLOCKS
     ranked = ranked_legs_of_many(
-        collection, queries, limits, embedder, unicode_keywords, max_keywords, max_block_bytes
+        collection,
+        queries,
+        limits,
+        embedder,
+        unicode_keywords,
+        max_keywords,
+        max_block_bytes,
+        dealt_blocks=blocks if dealt else 0,
     )
     fused = fuse(ranked, metric, rrf_constant)
     place = F.row_number().over(
@@ -288,3 +311,15 @@ def search_many(
         ),
         "query_id",
     )
+
+
+def register_search_many(collection: Collection, queries: str, view: str, **settings) -> None:
+    """Hybrid search from SQL for a column of queries: the hits of all rows of a table or view `queries` (query_id, query
+    [, query_vector]) as the temporary view `view` of query_id, ID, TEXT, SCORE, QUERY.
+
+    `settings` are those of `search_many`. Queries and points are dealt to tasks, so that the view is a plan like any other
+    and its whole search is one pass of both. The rows of `queries` are counted now, to size the blocks: the view follows
+    what the table holds when it is read, but one that has grown much is better registered anew.
+    """
+    asked = collection.points.sparkSession.table(queries)
+    search_many(collection, asked, dealt=True, **settings).createOrReplaceTempView(view)

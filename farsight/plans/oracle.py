@@ -332,6 +332,11 @@ ORACLE_SQL = {
                 PARTITION BY query_id ORDER BY score DESC, id) <= 10
         ) f JOIN points p ON p.id = f.id JOIN asked a ON a.query_id = f.query_id
     """,
+    "batch_hybrid_turns": f"""
+        {hashed_legs(3, f"SELECT id, max(text) AS text FROM ({_TURNS}) GROUP BY id")}
+        SELECT query_id, id AS "ID", round(score, 9) AS "SCORE"
+        FROM fused QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 3
+    """,
     "sql_table_function": f"""
         {hashed_legs(20, _ONE_ITEM)}
         SELECT f.id AS "ID", d.lang, d.source, round(f.score, 9) AS "SCORE", a.query AS "QUERY"
@@ -500,3 +505,4 @@ ORACLE_SQL["collection_health_sketch"] = """
     FROM again
 """
 ORACLE_SQL["keyword_leg_postings"] = ORACLE_SQL["keyword_leg"]
+ORACLE_SQL["sql_search_many"] = ORACLE_SQL["batch_hybrid"]

@@ -309,6 +309,27 @@ def batch_hybrid(spark: SparkSession, folder: str) -> DataFrame:
     return shown(S.search_many(collection, items(spark, folder), embedder=HashEmbedder(DIM)), 9)
 
 
+def sql_search_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark text searched for in all documents, from SQL."""
+    items(spark, folder).createOrReplaceTempView("benchmark_queries")
+    collection = hashed_collection(spark, folder, "Cosine")
+    S.register_search_many(collection, "benchmark_queries", "hits_of_benchmark", embedder=HashEmbedder(DIM))
+    return spark.sql("SELECT query_id, ID, TEXT, round(SCORE, 9) AS SCORE, QUERY FROM hits_of_benchmark")
+
+
+def batch_hybrid_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation turn searched for in all documents; the queries do not pass through the driver."""
+    turns = (
+        table(spark, folder, "conversations")
+        .groupBy(F.concat("conv_id", F.lit("-"), "turn").alias("query_id"))
+        .agg(F.max("text").alias("query"))
+        .filter("query_id IS NOT NULL")
+    )
+    collection = hashed_collection(spark, folder, "Cosine")
+    found = S.search_many(collection, turns, 3, embedder=HashEmbedder(DIM), dealt=True)
+    return shown(found.select("query_id", "ID", "SCORE"), 9)
+
+
 def sql_table_function(spark: SparkSession, folder: str) -> DataFrame:
     """Hybrid search from SQL, joined with a table there."""
     hashed_collection(spark, folder, "Cosine").points.createOrReplaceTempView("hashed_documents")
@@ -626,6 +647,8 @@ QUERIES = {
     "hybrid_search": hybrid_search,
     "hybrid_fallback": hybrid_fallback,
     "batch_hybrid": batch_hybrid,
+    "batch_hybrid_turns": batch_hybrid_turns,
+    "sql_search_many": sql_search_many,
     "sql_table_function": sql_table_function,
     "join_metadata": join_metadata,
     "join_fact": join_fact,

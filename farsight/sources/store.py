@@ -34,8 +34,9 @@ from pyspark.sql import types as T
 
 from ..functions.distance import check_metric
 from ..functions.sql import register_search_function
-from ..operators.catalog import list_tables
+from ..operators.catalog import list_tables, matches_filter
 from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
+from ..operators.embedding import HashEmbedder
 from . import commits
 from .collection import Collection
 from .postings import read_postings, write_postings
@@ -198,28 +199,38 @@ class CollectionStore:
     def list(self, collection_filter: str | None = None) -> DataFrame:
         return list_tables(self.registry(), collection_filter)
 
-    def refresh(self, collection_filter: str | None = None) -> list[str]:
+    def refresh(self, collection_filter: str | None = None, searchable: bool = False, embedder=None) -> list[str]:
         """Make the points of every matching collection a temporary view, whatever its name; see `view_name`.
 
-        The registry is read once for all.
+        With `searchable` each also gets its relation of ID, TEXT, SCORE and QUERY, the function `search_<view>` (see
+        `register_search`), if its vectors can be made: by the embedder, where the collection names its model or none, or
+        hashed, where it names none or hashing. The registry is read once for all; the driver holds the entries found.
         """
-        tables = self.list(collection_filter).select(F.lower("table_name").alias("key")).distinct()
-        entries = self.registry().join(F.broadcast(tables), F.lower("name") == F.col("key")).collect()
+        entries = self.registry().filter(matches_filter(F.col("name"), collection_filter)).collect()
         for entry in entries:
             self._points_of(entry).createOrReplaceTempView(view_name(entry["name"]))
+            if searchable:
+                model = entry["model_name"]
+                if embedder is not None and model in (None, "", embedder.model):
+                    self._register(entry, embedder)
+                elif model in (None, "", HashEmbedder(entry["vector_size"]).model):
+                    self._register(entry, None)
         return sorted(view_name(entry["name"]) for entry in entries)
 
-    def register_search(self, name: str, embedder=None, function: str | None = None, limit: int = 10) -> str:
-        """A SQL function for a collection, with its metric: `search_<view>(query[, k[, offset]])`. Returns its name."""
-        entry = self.entry(name)
+    def _register(self, entry: Row, embedder, function: str | None = None, limit: int = 10) -> str:
         view = view_name(entry["name"])
-        self._points_of(entry).createOrReplaceTempView(view)
         function = function or f"search_{view}"
         register_search_function(
             self.spark, function, view, entry["vector_size"], embedder, entry["distance"], default_limit=limit
         )
         return function
 
+    def register_search(self, name: str, embedder=None, function: str | None = None, limit: int = 10) -> str:
+        """A SQL function for a collection, with its metric: `search_<view>(query[, k[, offset]])`. Returns its name."""
+        entry = self.entry(name)
+        self._points_of(entry).createOrReplaceTempView(view_name(entry["name"]))
+        return self._register(entry, embedder, function, limit)
+
     # ---- points
 
     def segment_path(self, name: str, segment: str) -> str:

@@ -100,10 +100,11 @@ def _queries(spark, n):
 
 @pytest.mark.parametrize("metric", METRICS)
 @pytest.mark.parametrize("block_bytes", [1 << 20, 200])
-def test_many_queries_are_exact(spark, points, metric, block_bytes):
+@pytest.mark.parametrize("dealt", [False, True])
+def test_many_queries_are_exact(spark, points, metric, block_bytes, dealt):
     rows, queries = _queries(spark, 11)
     c = collection(spark, points, metric)
-    found = S.search_many(c, queries, 5, 2, max_block_bytes=block_bytes)
+    found = S.search_many(c, queries, 5, 2, max_block_bytes=block_bytes, dealt=dealt)
     by_query = {}
     for row in found.collect():
         by_query.setdefault(row["query_id"], []).append((row["ID"], row["SCORE"]))
@@ -114,6 +115,27 @@ def test_many_queries_are_exact(spark, points, metric, block_bytes):
         assert got == {i: pytest.approx(s, abs=2e-9) for i, s in expected}
 
 
+def test_many_blocks_of_queries_do_not_pass_through_the_driver(spark, points, monkeypatch):
+    rows, queries = _queries(spark, 11)
+    c = collection(spark, points, "Cosine")
+    wanted = S.search_many(c, queries, 5, dealt=False).collect()
+
+    def refused(*_):
+        raise AssertionError("queries on the driver")
+
+    monkeypatch.setattr(S, "query_blocks", refused)
+    found = S.search_many(c, queries, 5, max_block_bytes=100)
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted))
+
+
+@pytest.mark.parametrize("no", ["queries", "points"])
+def test_nothing_to_deal(spark, points, no):
+    _, queries = _queries(spark, 3)
+    c = collection(spark, [] if no == "points" else points, "Cosine")
+    asked = queries.limit(0) if no == "queries" else queries
+    assert S.search_many(c, asked, 5, dealt=True).collect() == []
+
+
 def test_the_placing_of_rows_changes_nothing(spark, points):
     rng = random.Random(4)
     shuffled = points[:]

@@ -50,3 +50,32 @@ def test_keywords_in_sql(spark, query):
     register_functions(spark)
     found = spark.sql("SELECT farsight_query_keywords(:q) AS k", args={"q": query}).first()["k"]
     assert found == KEYWORD_CASES[query]
+
+
+def test_sql_counts_as_many_keywords_as_asked(spark):
+    register_functions(spark)
+    query = " ".join(f"keyword{n}" for n in range(30))
+    for most, given in ((3, ", 3"), (None, ", NULL"), (12, "")):
+        found = spark.sql(f"SELECT farsight_query_keywords('{query}'{given}) AS k").first()["k"]
+        assert found == S.query_keywords(spark, query, most=most)
+
+
+def test_a_refresh_gives_every_collection_its_relation(spark, store):
+    store.create("other_model", 16, model_name="some-model")
+    views = store.refresh("kb, other*", searchable=True, embedder=HashEmbedder(16))
+    assert views == ["kb", "other_model"]
+    found = spark.sql(f"SELECT * FROM search_kb('{QUERY}', 15) ORDER BY SCORE DESC, ID")
+    assert found.columns == ["ID", "TEXT", "SCORE", "QUERY"]
+    assert found.collect() == S.search(store.collection("kb"), QUERY, 15, embedder=HashEmbedder(16)).collect()
+    # Vectors of a model that is not at hand cannot be made.
+    assert not spark.catalog.functionExists("search_other_model")
+
+
+def test_a_column_of_queries_from_sql(spark, store):
+    Q.items(spark, FOLDER).createOrReplaceTempView("asked")
+    S.register_search_many(store.collection("kb"), "asked", "answers", limit=4, embedder=HashEmbedder(16))
+    found = spark.sql("SELECT * FROM answers").collect()
+    wanted = S.search_many(store.collection("kb"), spark.table("asked"), 4, embedder=HashEmbedder(16))
+    assert sorted(map(str, found)) == sorted(map(str, wanted.collect()))
+    best = spark.sql("SELECT max(SCORE) AS best FROM answers WHERE query_id = 0 AND ID IS NOT NULL").first()
+    assert best["best"] == max(row["SCORE"] for row in found if row["query_id"] == 0)
