@@ -506,3 +506,4 @@ ORACLE_SQL["collection_health_sketch"] = """
 """
 ORACLE_SQL["keyword_leg_postings"] = ORACLE_SQL["keyword_leg"]
 ORACLE_SQL["sql_search_many"] = ORACLE_SQL["batch_hybrid"]
+ORACLE_SQL["ingest_by_cost"] = ORACLE_SQL["ingest_documents"]

@@ -487,7 +487,7 @@ def _store(spark: SparkSession) -> CollectionStore:
     return CollectionStore(spark, fresh_folder(spark, "collections"))
 
 
-def ingest_documents(spark: SparkSession, folder: str) -> DataFrame:
+def ingest_documents(spark: SparkSession, folder: str, by_cost: bool = False) -> DataFrame:
     """All documents written to a new collection and read back."""
     store = _store(spark)
     store.create("documents", DIM)
@@ -498,12 +498,18 @@ def ingest_documents(spark: SparkSession, folder: str) -> DataFrame:
         HashEmbedder(DIM),
         id_col="doc_id",
         seq_col="doc_id",
+        by_cost=by_cost,
     )
     return store.points("documents").select(
         "point_id", "id", "text", F.size("tokens").cast("bigint").alias("n_tokens")
     )
 
 
+def ingest_by_cost(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, tasks being dealt equal sums of bytes to embed."""
+    return ingest_documents(spark, folder, by_cost=True)
+
+
 def ingest_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of one language and length share an id, so some are overwritten."""
     store = _store(spark)
@@ -664,6 +670,7 @@ QUERIES = {
     "ingest_concat_text": ingest_concat_text,
     "dimension_check": dimension_check,
     "ingest_documents": ingest_documents,
+    "ingest_by_cost": ingest_by_cost,
     "ingest_summary": ingest_summary,
     "upsert_last_wins": upsert_last_wins,
     "stream_ingest": stream_ingest,
