@@ -95,3 +95,16 @@ def test_word_counts_combine_before_the_shuffle(spark):
     text = plan(Q.text_index_postings(spark, FOLDER))
     assert "partial_count" in text
     assert "ReadSchema: struct<text:string>" in text
+
+
+def test_dealt_queries_are_not_broadcast(spark, stored):
+    queries = spark.range(5).select(
+        F.col("id").cast("string").alias("query_key"),
+        F.array(F.lit("word")).alias("keywords"),
+        F.array_repeat(F.lit(1.0), 16).alias("query_vector"),
+    )
+    text = plan(R.candidates_dealt(stored.points, queries, "Cosine", 16, R.LegLimits(10), blocks=3))
+    assert "Broadcast" not in text
+    # Points and queries go through one exchange, and the points' texts are not read.
+    assert text.count("Exchange ") == 1
+    assert not re.search(r"ReadSchema: \S*text:", text)
