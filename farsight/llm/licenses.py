@@ -14,7 +14,7 @@ from farsight.llm.common import broadcast_if_small, keyed, made_once, saved
 #: Words in a shingle, shingles in a window (a window begins at every word), and the share of shingles to be found.
 SHINGLE, WINDOW, CONTAINMENT = 5, 3, 0.8
 #: One hash function a band. A window that equals a template's is always met; one that shares a single shingle of three
-#: with it, in 1 - (2 / 3) ** 12 = 99.2 % of cases for each of its windows.
+#: with it (one of five different ones), in 1 - (4 / 5) ** 12 = 93 % of cases for each of its windows.
 BANDS = 12
 #: All templates together may have so many words, as their band values are part of the query.
 MAX_WORDS = 20_000
