@@ -219,3 +219,33 @@ def test_an_empty_collection_gives_typed_columns(spark):
             ("ID", "string"), ("TEXT", "string"), ("SCORE", "double"), ("QUERY", "string")
         ]
         assert found.collect() == []
+
+
+def test_tiles_and_cuts_change_nothing(monkeypatch):
+    points = make_points(600)
+    ids, texts, vectors = (list(column) for column in zip(*points))
+    rng = np.random.default_rng(5)
+    block = R.QueryBlock([f"q{k}" for k in range(40)], rng.integers(-2, 3, (40, 4)) / 2, [WORDS[k % 12 : k % 12 + 3] for k in range(40)])
+    found = []
+    for tile, waiting, scores in ((512, 500_000, 4_000_000), (7, 10, 100)):
+        monkeypatch.setattr(R, "TILE_QUERIES", tile)
+        monkeypatch.setattr(R, "WAITING", waiting)
+        monkeypatch.setattr(R, "SCORES_PER_BLOCK", scores)
+        ranker = R.LegRanker(block, "Cosine", R.LegLimits(2))
+        ranker.add(pa.array(ids), pa.array(vectors, pa.list_(pa.float32())), pa.array([text.split() for text in texts]))
+        found.append(sorted(map(str, ranker.result().to_pylist())))
+    assert found[0] == found[1]
+
+
+def test_dealt_candidates_do_not_grow_with_the_partitions(spark, points, monkeypatch):
+    _, queries = _queries(spark, 11)
+    made, deal = [], S.candidates_dealt
+    monkeypatch.setattr(S, "candidates_dealt", lambda *given: made.append(deal(*given)) or made[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        S.search_many(collection(spark, points, "Cosine"), queries, 5, dealt=True)
+        vector_legs = made[0].filter("leg = ''")
+        assert vector_legs.count() <= 4 * R.LegLimits(5).vector * 11  # once all 400 points a query
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
