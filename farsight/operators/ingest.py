@@ -53,10 +53,10 @@ def ingest(
 ) -> DataFrame:
     """Clean, keep the last row per id, embed, check and write; then show the new segment.
 
-    The source is read once: vectors of the wrong size are counted while they are written, and the
-    segment only becomes visible if there are none. Duplicates are dropped before the model
+    Ids are counted first: only where some repeat are the texts shuffled to find the last row of each. Then the source is read
+    once: vectors of the wrong size are counted while they are written, and the segment only becomes visible if there are none. Duplicates are dropped before the model
     is called. Returns (partition_id, upserted_count). A source none of whose rows has an id is refused, unless `some_ids`
-    is false. With a `cache` the model sees only texts it has not met before; the source is then read twice. With `by_cost` tasks embed equal sums of bytes in place of equal numbers of rows: the
+    is false. With a `cache` the model sees only texts it has not met before; the source is then read once more. With `by_cost` tasks embed equal sums of bytes in place of equal numbers of rows: the
     source is read once more before, of which ids and lengths are moved. The first ingest into a collection that names no
     model binds it to the embedder's.
     """
@@ -73,7 +73,11 @@ def ingest(
     digits = entry["shard_digits"]
     rows = id_and_text(source, column(id_col), column(text_col), column(seq_col))
     cleaned = clean(rows)
-    latest = keep_last(cleaned, "original_id", "seq", seen="seen")
+    counts = cleaned.agg(F.count("original_id").alias("rows"), F.count_distinct("original_id").alias("ids")).first()
+    if counts["rows"] == counts["ids"]:
+        latest = cleaned.withColumn("seen", F.lit(1).cast("long"))
+    else:
+        latest = keep_last(cleaned, "original_id", "seq", seen="seen")
     spread = F.pmod(F.xxhash64("point_id"), F.lit(store.writers_per_shard(entry)))
     placed = latest.withColumn("point_id", point_id(F.col("original_id"))).withColumn(
         "shard", shard_of(F.col("point_id"), digits)

@@ -18,6 +18,8 @@ BUCKETS = 64
 ROW_IDS, TASK_IDS = 4096, 4_000_000
 #: So many words are looked up by a filter, which the scan itself applies; more by a join.
 MAX_FILTERED_WORDS = 200
+#: Hex digits between the dashes of a UUID.
+_UUID = (8, 4, 4, 4, 12)
 SCHEMA = "part int, token string, prefix string, point_ids array<string>, bucket int"
 
 
@@ -25,24 +27,46 @@ def bucket_of(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
+def _packed(point: Column) -> Column:
+    """A point id in 16 bytes if it is a UUID in lower case, as ours are; else in more, and as it is after the first 17."""
+    digits = F.replace(point, F.lit("-"), F.lit(""))
+    other = F.concat(F.lit(bytes(17)), F.encode(point, "UTF-8"))
+    return F.when(point.rlike("^" + "-".join(f"[0-9a-f]{{{n}}}" for n in _UUID) + "$"), F.unhex(digits)).otherwise(other)
+
+
+def _unpacked(packed: Column) -> Column:
+    digits, starts = F.lower(F.hex(packed)), [1 + sum(_UUID[:at]) for at in range(len(_UUID))]
+    uuid = F.concat_ws("-", *[F.substring(digits, start, n) for start, n in zip(starts, _UUID)])
+    return F.when(F.length(packed) == 16, uuid).otherwise(F.decode(F.substring(packed, 18, 1 << 30), "UTF-8"))
+
+
+def _prefix(packed: Column, digits: int) -> Column:
+    """The first characters of a packed id."""
+    if not digits:
+        return F.lit("")
+    first = F.substring(F.lower(F.hex(F.substring(packed, 1, 4))), 1, digits)
+    return F.when((F.length(packed) == 16) & F.lit(digits <= 8), first).otherwise(F.substring(_unpacked(packed), 1, digits))
+
+
 def write_postings(points: DataFrame, folder: str, buckets: int = BUCKETS) -> None:
     """Index points (point_id, tokens). One shuffle: words are dealt by bucket, each bucket over as many tasks as keep the share
     of the commonest word bounded, and the lists are made where they are written."""
     sizes = points.agg(F.count(F.lit(1)), F.sum(F.size("tokens").cast("long"))).first()
     digits = max(0, math.ceil(math.log(max(1, sizes[0] / ROW_IDS), 16)))
     parts = max(1, math.ceil((sizes[1] or 0) / TASK_IDS))
-    prefix = F.substring("point_id", 1, digits)
-    words = points.select("point_id", F.explode("tokens").alias("token")).select(
-        bucket_of(F.col("token"), buckets).alias("bucket"),
-        F.pmod(F.xxhash64(prefix, F.lit("part")), F.lit(parts)).cast("int").alias("part"),
-        "token",
-        prefix.alias("prefix"),
-        "point_id",
+    # What is shuffled is a word and a packed id; all else follows from these.
+    token, packed = F.col("token"), F.col("packed")
+    bucket, prefix = bucket_of(token, buckets), _prefix(packed, digits)
+    part = F.pmod(F.xxhash64(prefix, F.lit("part")), F.lit(parts)).cast("int")
+    words = points.select(_packed(F.col("point_id")).alias("packed"), "tokens").select("packed", F.explode("tokens").alias("token"))
+    words = words.repartition(bucket, part).select(
+        bucket.alias("bucket"), part.alias("part"), "token", prefix.alias("prefix"), "packed"
     )
-    lists = words.repartition("bucket", "part").groupBy("bucket", "part", "token", "prefix")
-    rows = lists.agg(F.sort_array(F.collect_list("point_id")).alias("point_ids"))
-    rows = rows.sortWithinPartitions("bucket", "token", "prefix")
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    lists = words.groupBy("bucket", "part", "token", "prefix").agg(F.collect_list("packed").alias("packed"))
+    ids = F.sort_array(F.transform("packed", _unpacked)).alias("point_ids")
+    rows = lists.select("bucket", "part", "token", "prefix", ids).sortWithinPartitions("bucket", "token", "prefix")
+    # Ids are hex digits, which zstandard halves.
+    rows.write.mode("overwrite").partitionBy("bucket").option("compression", "zstd").parquet(folder)
 
 
 def read_postings(spark: SparkSession, folder: str) -> DataFrame:

@@ -245,6 +245,7 @@ class CollectionStore:
             points.select(*POINT_COLUMNS)
             .sortWithinPartitions("shard", "point_id")
             .write.partitionBy("shard")
+            .option("compression", "zstd")
             .parquet(path)
         )
 

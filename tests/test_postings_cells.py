@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farsight.functions.distance import METRICS
+from farsight.functions.ids import point_id
 from farsight.operators import ranking as R
 from farsight.operators import search as S
 from farsight.operators.embedding import HashEmbedder
@@ -164,3 +165,33 @@ def test_no_points_no_hits(spark):
     assert [row["id"] for row in build_cells(Collection("c", same, 3), cells=9).topk([1.0, 0.0, 0.0], 2).hits.collect()] == ["a0", "a1"]
     one = spark.createDataFrame([("a", "t", [1.0, 0.0, 0.0])], "id string, text string, embedding array<float>")
     assert [row["id"] for row in build_cells(Collection("c", one, 3)).topk([1.0, 0.0, 0.0], 5).hits.collect()] == ["a"]
+
+
+def test_ids_are_shuffled_and_stored_small(spark):
+    """Ids that are UUIDs take 16 bytes; others come back as they were."""
+    points = spark.range(3000).select(
+        F.when(F.col("id") == 5, "x").when(F.col("id") == 6, "A0000000-0000-0000-0000-000000000000").otherwise(
+            point_id(F.col("id").cast("string"))
+        ).alias("point_id"),
+        F.array(F.lit("hot"), F.lit("cold")).alias("tokens"),
+    )
+    folder = fresh_folder(spark, "small")
+    P.write_postings(points, folder)
+    found = P.read_postings(spark, folder)
+    for token in ("hot", "cold"):
+        ids = found.filter(F.col("token") == token).select(F.explode("point_ids").alias("point_id"))
+        assert ids.exceptAll(points.select("point_id")).isEmpty() and ids.count() == 3000
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
+    assert sizes.agg(F.sum("length")).first()[0] < 6000 * 30  # once 40 each
+
+
+def test_texts_of_different_ids_are_shuffled_once(spark, monkeypatch):
+    def refused(*_, **__):
+        raise AssertionError("texts shuffled by id")
+
+    store = CollectionStore(spark, fresh_folder(spark, "once"))
+    store.create("docs", 16)
+    df = spark.createDataFrame([("a", "one"), ("b", "two")], "id string, text string")
+    monkeypatch.setattr("farsight.operators.ingest.keep_last", refused)
+    assert ingest(store, "docs", df, HashEmbedder(16)).agg(F.sum("upserted_count")).first()[0] == 2
+    assert sorted(tuple(r) for r in store.points("docs").select("id", "text").collect()) == [("a", "one"), ("b", "two")]
