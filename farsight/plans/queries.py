@@ -45,6 +45,7 @@ DIM = 64  # elements of the vectors in `embeddings`, and of the hashed ones
 QUERY_POINT = 7  # the vector that serves as a query by example
 QUERY_ITEM = 0  # the benchmark text that serves as a query
 NO_KEYWORDS = "what is the"
+MAX_KEY_BYTES = 16 * 1024 * 1024  # of keys that are broadcast to filter another table
 FILTER = "src1*_en, src?_fr ,, src5_de"
 
 
@@ -57,6 +58,13 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return read_spread(spark, f"{folder}/documents.parquet")
 
 
+def having(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """The rows whose key, a long, other rows have too. Keys are counted and broadcast if they are few: texts then stay in place."""
+    keys = others.select(key).distinct()
+    few = 16 * others.select(key).count() <= MAX_KEY_BYTES
+    return rows.join(F.broadcast(keys) if few else keys, key, "left_semi")
+
+
 # ---- collections over the given tables
 
 
@@ -279,9 +287,8 @@ def vector_topk_small_norm(spark: SparkSession, folder: str) -> DataFrame:
 
 def search_dirty_points(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of which some have no id, some another's, some no vector and some one that is not finite."""
-    documents = table(spark, folder, "documents").join(
-        table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id"
-    )
+    vectors = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    documents = having(table(spark, folder, "documents"), vectors, "doc_id").join(vectors, "doc_id")
     last = F.col("doc_id") % 10
     given = F.when(last == 4, F.col("doc_id") - 1).when(last != 3, F.col("doc_id"))
     damage = F.col("doc_id") % 7

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.distance import check_metric
 from ..functions.ids import point_id
 from ..operators.cleaning import wrong_size
+from ..session import fresh_folder
+
+#: Ids that several rows have are broadcast up to this many bytes, which are counted.
+MAX_REPEATED_BYTES = 16 * 1024 * 1024
 
 
 def shard_of(point: Column, digits: int) -> Column:
@@ -68,10 +72,26 @@ class Collection:
         )
         counts = points.agg(F.count("id").alias("rows"), F.count_distinct("id").alias("ids")).first()
         if counts["rows"] != counts["ids"]:
-            rest = [c for c in points.columns if c != "id"]
-            points = points.groupBy("id").agg(F.min(F.struct(*rest)).alias("row")).select("id", "row.*")
+            points = cls._one_row_an_id(points)
         return cls(name, points, vector_size, **settings)
 
+    @staticmethod
+    def _one_row_an_id(points: DataFrame) -> DataFrame:
+        """The repeated ids are written down, and their rows alone are shuffled; the others stay where they lie, unless the ids outgrow
+        a broadcast."""
+        spark = points.sparkSession
+        folder = fresh_folder(spark, "repeated-ids")
+        repeated = points.groupBy("id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+        repeated.select("id").write.parquet(folder)
+        repeated = spark.read.schema("id string").parquet(folder)
+        size = repeated.agg(F.sum(F.octet_length("id") + 32).cast("long")).first()[0] or 0
+        if size <= MAX_REPEATED_BYTES:
+            repeated = F.broadcast(repeated)
+        rest = [c for c in points.columns if c != "id"]
+        least = points.join(repeated, "id", "left_semi").groupBy("id").agg(F.min(F.struct(*rest)).alias("row"))
+        single = points.join(repeated, "id", "left_anti")
+        return single.unionByName(least.select("id", "row.*"))
+
     def size_report(self) -> DataFrame:
         """How many points have a vector of the right size, and how many do not."""
         infinite = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

@@ -249,3 +249,16 @@ def test_dealt_candidates_do_not_grow_with_the_partitions(spark, points, monkeyp
         assert vector_legs.count() <= 4 * R.LegLimits(5).vector * 11  # once all 400 points a query
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_only_rows_of_repeated_ids_are_shuffled(spark):
+    rows = [(f"p{at}", f"text {at}", [1.0, at / 9]) for at in range(50)]
+    rows += [("p3", "a text", [0.5, 0.5]), ("p4", "text 4", [0.0, 1.0]), (None, "none", [1.0, 1.0]), ("", "none", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id string, text string, embedding array<float>")
+    points = Collection.from_table("c", df, 2).points
+    text = points._jdf.queryExecution().executedPlan().toString()
+    assert "left anti" in text.lower() or "leftanti" in text.lower()
+    found = {r["id"]: (r["text"], list(r["embedding"])) for r in points.collect()}
+    assert points.count() == len(found) == 51
+    assert found["p3"] == ("a text", [0.5, 0.5]) and found["p4"] == ("text 4", [0.0, 1.0]) and found["p5"][0] == "text 5"
+    assert [v for t, v in found.values() if t == "none"] == [[0.0, 1.0]]
