@@ -5,6 +5,7 @@ Each takes (spark, folder of the tables) and returns a DataFrame.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,7 @@ QUERY_POINT = 7  # the vector that serves as a query by example
 QUERY_ITEM = 0  # the benchmark text that serves as a query
 NO_KEYWORDS = "what is the"
 MAX_KEY_BYTES = 16 * 1024 * 1024  # of keys that are broadcast to filter another table
+FILE_BYTES = 128 * 1024 * 1024  # of text in one arriving file, about
 FILTER = "src1*_en, src?_fr ,, src5_de"
 
 
@@ -553,13 +555,16 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     store = _store(spark)
     store.create("streamed", DIM)
     arriving = fresh_folder(spark, "arriving")
+    # Three files a delivery, of which two make a batch; where they would be large, each is as many as keep a file in bounds.
+    size = table(spark, folder, "documents").agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
+    parts = max(1, math.ceil(size / (3 * FILE_BYTES)))
     for number, delivery in enumerate(_documents_and_labelled(spark, folder)):
         # Rows of one id share a file: files of one delivery may be taken in any order. A batch may
         # hold files of both deliveries, so a row says which one it came with.
         numbered = delivery.withColumn("delivery", F.lit(number))
-        numbered.repartition(3, "id").write.mode("append").parquet(arriving)
+        numbered.repartition(3 * parts, "id").write.mode("append").parquet(arriving)
     source = (
-        spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+        spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", 2 * parts).parquet(arriving)
     )
     stream = ingest_stream(
         store,
