@@ -38,6 +38,14 @@ _SIGNS = re.compile(rb"[.,;:!?%&#*=~-]+")
 _LETTERS_SIGNS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?%&#*=~-]*)")
 
 
+def _bytes_of(strings: pa.Array) -> list[bytes]:
+    """`to_pylist` for binary strings without nulls, cut from one buffer: a fraction of the time."""
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(strings) + 1, 4 * strings.offset).tolist() if len(strings) else [0]
+    whole = b"" if data is None else data.to_pybytes()
+    return [whole[start:end] for start, end in zip(ends, ends[1:])]
+
+
 class WordEncoder:
     """The ids that the tokenizers library gives for texts, each distinct word between ASCII spaces being encoded once.
 
@@ -104,18 +112,21 @@ class WordEncoder:
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         ids = list(map(self._known.get, words))
-        if None in ids:
-            older = {word: self._older[word] for word, own in zip(words, ids) if own is None and word in self._older}
-            self._remember(older)
-            new = self._learn([word for word, own in zip(words, ids) if own is None and word not in older])
-            ids = [(older.get(word) or new[word]) if own is None else own for word, own in zip(words, ids)]
+        lost = [at for at, own in enumerate(ids) if own is None]
+        if lost:
+            missing = [words[at] for at in lost]
+            found = {word: self._older[word] for word in missing if word in self._older}
+            self._remember(found)
+            found |= self._learn([word for word in missing if word not in found])
+            for at, word in zip(lost, missing):
+                ids[at] = found[word]
         return ids
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; all texts together should be of a bounded size."""
         lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
-        table = self._ids_of(words.dictionary.cast(pa.binary()).to_pylist())
+        table = self._ids_of(_bytes_of(words.dictionary.cast(pa.binary())))
         sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
         ids, starts = np.frombuffer(b"".join(table), "<u4"), np.cumsum(sizes) - sizes
         number = words.indices.to_numpy()

@@ -131,3 +131,20 @@ def test_documents_by_id(table, spark, tmp_path):
     texts = sorted((doc, ids_of(text)) for doc, text in ROWS if doc in (4, 50, 120))
     assert sorted((row["doc_id"], row["ids"]) for row in found) == texts
     assert T.read_documents(index, wanted.filter("doc_id = 999")).count() == 0
+
+
+def test_words_are_cut_from_one_buffer():
+    """Without an object of pyarrow's for each word, which took a third of the time of known words."""
+    words = ["", "one", "größe", "", "x" * 70, "last"]
+    for array in (pa.array(words), pa.array(words)[2:], pa.array([], pa.string()), pa.array(["", ""])):
+        assert T._bytes_of(array.cast(pa.binary())) == array.cast(pa.binary()).to_pylist()
+
+
+def test_a_word_without_ids_is_remembered(monkeypatch):
+    """One that the vocabulary drops whole, met again after others have pushed it out of the newer half of the memory."""
+    monkeypatch.setattr(T, "REMEMBERED_BYTES", 1)
+    encoder = T.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = pa.array(["\x00 hello"])
+    for _ in range(3):
+        assert [ids.tolist() for ids in encoder.encode(texts)] == [encoder.tokenizer.encode("\x00 hello", add_special_tokens=False).ids]
+        encoder.encode(pa.array([f"word{_}"]))
