@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farsight.llm.common import Tables, broadcast_if_small, fresh_name, keyed, saved
+from farsight.llm.common import Tables, broadcast_if_small, fresh_name, in_few_files, keyed, saved
 from farsight.llm.groups import linked_groups
 from farsight.llm.tokens import SHINGLE, counted, mixed, overlap, pieces, shingles_of, words_of
 
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** 5) ** 25 = 5e-5.
 BANDS, ROWS, THRESHOLD = 25, 5, 0.8
 SKETCH_BITS = 128
+#: Rows with whole texts, at least, for which a task is worth its start.
+HEAVY_ROWS = 512
 
 _U = np.uint64
 _STEP, _LEVEL, _BAND = _U(0x9E3779B97F4A7C15), _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7)
@@ -170,15 +173,17 @@ def _classes(rows: DataFrame, tables: Tables, threshold: float, bands: int, rows
         bits = [F.bit_count(F.col(f"{a}.bits{k}").bitwiseXOR(F.col(f"{b}.bits{k}"))) for k in (1, 2)]
         return sizes & (bits[0] + bits[1] <= apart)
 
-    def enrich(live: DataFrame, own: Tables) -> DataFrame:
+    def enrich(sides: list[DataFrame], own: Tables) -> list[DataFrame]:
         """Adds the bands before the bucket's own, so that a pair is made in the first bucket it shares, and the shingles."""
-        nodes = broadcast_if_small(own.save(live.select(F.col("node").alias("row")).distinct(), "nodes"), 16)
+        nodes = reduce(DataFrame.unionAll, [side.select(F.col("node").alias("row")) for side in sides]).distinct()
+        most = sum(side.count() for side in sides)
+        nodes = broadcast_if_small(own.save(in_few_files(nodes, most), "nodes"), 16)
         found = _elements(rows.select("row", "text").join(nodes, "row"))
         bands_of = first.select(F.col("row").alias("node"), "bands").join(nodes.withColumnRenamed("row", "node"), "node")
-        table = own.save(found.join(bands_of, "node"), "shingles")
+        table = own.save(in_few_files(found.join(bands_of, "node"), most, HEAVY_ROWS), "shingles")
         table = broadcast_if_small(table, 4 * F.size("elements") + 8 * F.size("bands") + 64)
         before = F.slice("bands", 1, F.array_position("bands", F.col("bucket")).cast("int") - 1)
-        return live.join(table, "node").select(*live.columns, before.alias("before"), "elements")
+        return [side.join(table, "node").select(*side.columns, before.alias("before"), "elements") for side in sides]
 
     def must_link(a: str, b: str) -> Column:
         """No earlier bucket is shared, and the shingle sets overlap enough (as numbers of 32 bits, hence hardly less than
@@ -188,10 +193,13 @@ def _classes(rows: DataFrame, tables: Tables, threshold: float, bands: int, rows
         return ~F.arrays_overlap(f"{a}.before", f"{b}.before") & enough
 
     def verify(pairs: DataFrame, own: Tables) -> DataFrame:
-        ends = own.save(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "ends")
+        count = pairs.count()
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        ends = own.save(in_few_files(ends, 2 * count), "ends")
         texts = own.save(rows.select("row", "text").join(broadcast_if_small(ends, 16), "row"), "linked-texts")
         a, b = (texts.select(F.col("row").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-        return own.save(_alike(pairs.join(b, "b").join(a, "a"), threshold), "alike")
+        alike = _alike(pairs.join(b, "b").join(a, "a"), threshold)
+        return own.save(in_few_files(alike, count, HEAVY_ROWS), "alike")
 
     roots = linked_groups(members, may_link, verify, tables, enrich, must_link)
     classes = tables.save(
