@@ -8,7 +8,8 @@ to unit length. A text without words gives zeros.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
+from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +17,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-@lru_cache(maxsize=1 << 18)
-def _bucket_and_sign(word: str, dim: int) -> tuple[int, float]:
-    digest = hashlib.md5(word.encode("utf-8")).hexdigest()
-    return int(digest[:8], 16) % dim, -1.0 if int(digest[8:10], 16) % 2 else 1.0
+#: Words whose cells are kept at hand, of each dimension.
+MOST_KNOWN = 1 << 18
+_known: dict[int, dict[str, int]] = {}
+
+
+def _cells(words: Sequence[str], dim: int) -> np.ndarray:
+    """Of each word twice its bucket, and one more if its sign is negative."""
+    known = _known.setdefault(dim, {})
+    if len(known) > MOST_KNOWN:
+        known.clear()
+    found = list(map(known.get, words))
+    if None in found:
+        for at, cell in enumerate(found):
+            if cell is None:
+                digest = hashlib.md5(words[at].encode("utf-8")).digest()
+                known[words[at]] = found[at] = int.from_bytes(digest[:4], "big") % dim * 2 + digest[4] % 2
+    return np.fromiter(found, np.int64, len(found))
+
+
+def _sums(row: np.ndarray, cells: np.ndarray, rows: int, dim: int) -> np.ndarray:
+    """Sums of signs by row and bucket."""
+    sums = np.bincount(row * dim + (cells >> 1), weights=1.0 - 2.0 * (cells & 1), minlength=rows * dim)
+    return sums.reshape(-1, dim)
+
+
+def counts_of_words(word_lists: Sequence[Sequence[str]], dim: int) -> np.ndarray:
+    """`hashed_counts` of lists of Python strings."""
+    sizes = [len(words) for words in word_lists]
+    cells = _cells(list(chain.from_iterable(word_lists)), dim)
+    return _sums(np.repeat(np.arange(len(sizes)), sizes), cells, len(sizes), dim)
 
 
 def hashed_counts(word_lists: pa.Array, dim: int) -> np.ndarray:
@@ -27,17 +54,13 @@ def hashed_counts(word_lists: pa.Array, dim: int) -> np.ndarray:
     if isinstance(word_lists, pa.ChunkedArray):
         word_lists = word_lists.combine_chunks()
     coded = word_lists.flatten().dictionary_encode()
-    hashed = [_bucket_and_sign(word, dim) for word in coded.dictionary.to_pylist()]
-    if not hashed:
+    cells = _cells(coded.dictionary.to_pylist(), dim)
+    if not len(cells):
         return np.zeros((len(word_lists), dim))
-    buckets, signs = (np.array(part) for part in zip(*hashed))
     code = coded.indices.to_numpy(zero_copy_only=False)
     sizes = word_lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(len(word_lists)), sizes)
-    cells = np.bincount(
-        row * dim + buckets[code], weights=signs[code], minlength=len(word_lists) * dim
-    )
-    return cells.reshape(-1, dim)
+    return _sums(row, cells[code], len(word_lists), dim)
 
 
 def unit_rows(counts: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hashed_counts, to_list_array, unit_rows
+from ..functions.hashing import counts_of_words, to_list_array, unit_rows
 
 # Defaults of the ingest.
 BATCH_SIZE = 100
@@ -26,6 +26,7 @@ OPENAI_URL = "https://api.openai.com/v1/embeddings"
 RATE_LIMIT_WAITS = (1.0, 2.0)
 # A service that does not answer for so many seconds fails the task, which Spark tries again.
 TIMEOUT = 120.0
+WORD = re.compile(r"[^\W_]+")
 
 # post(url, payload, headers) -> (status, body text)
 Transport = Callable[[str, dict, dict], tuple[int, str]]
@@ -111,8 +112,7 @@ class HashEmbedder:
         return f"hash-{self.dim}"
 
     def embed(self, texts: Sequence[str]):
-        found = [re.findall(r"[^\W_]+", text.lower()) for text in texts]
-        return unit_rows(hashed_counts(pa.array(found, pa.list_(pa.string())), self.dim))
+        return unit_rows(counts_of_words([WORD.findall(text.lower()) for text in texts], self.dim))
 
 
 def make_embedder(provider: str = DEFAULT_PROVIDER, **settings) -> Embedder:

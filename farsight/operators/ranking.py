@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import METRICS, best_first, raw_scores, significant, to_matrix, usable_rows
 from ..functions.text import index_tokens
-from ..session import fresh_folder
+from ..session import fresh_folder, shuffles_deleted
 from ..sources.postings import points_with
 
 VECTOR_LEG = ""  # no keyword is empty
@@ -290,7 +290,8 @@ def candidates_from_postings(
     for points, postings in parts:
         spark = points.sparkSession
         folder = fresh_folder(spark, "named")
-        points_with(postings, words).write.parquet(folder)
+        with shuffles_deleted(spark):
+            points_with(postings, words).write.parquet(folder)
         named = spark.read.schema("point_id string, tokens array<string>").parquet(folder)
         size = named.agg(F.sum(F.lit(64) + F.length(F.array_join("tokens", " ")))).first()[0] or 0
         # The filter keeps every point; without one Spark does not prune shards by a join.

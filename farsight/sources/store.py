@@ -37,6 +37,7 @@ from ..functions.sql import register_search_function
 from ..operators.catalog import list_tables, matches_filter
 from ..operators.creation import MODEL_DIMENSIONS, NAME_PATTERN, plan_creation
 from ..operators.embedding import HashEmbedder
+from ..session import shuffles_deleted
 from . import commits
 from .collection import Collection
 from .postings import read_postings, write_postings
@@ -241,13 +242,14 @@ class CollectionStore:
         return segment, self.segment_path(entry["name"], segment)
 
     def write_points(self, points: DataFrame, path: str) -> None:
-        (
-            points.select(*POINT_COLUMNS)
-            .sortWithinPartitions("shard", "point_id")
-            .write.partitionBy("shard")
-            .option("compression", "zstd")
-            .parquet(path)
-        )
+        with shuffles_deleted(self.spark):
+            (
+                points.select(*POINT_COLUMNS)
+                .sortWithinPartitions("shard", "point_id")
+                .write.partitionBy("shard")
+                .option("compression", "zstd")
+                .parquet(path)
+            )
 
     def publish(self, name: str, change: Callable[[Row], dict]) -> Row:
         """Change the state of a collection, by what `change` makes of it, and return the new one.

@@ -185,6 +185,28 @@ def test_ids_are_shuffled_and_stored_small(spark):
     assert sizes.agg(F.sum("length")).first()[0] < 6000 * 30  # once 40 each
 
 
+def test_a_rare_word_is_one_row(spark, monkeypatch):
+    """However many points there are, only a common word's ids are cut into rows."""
+    monkeypatch.setattr(P, "ROW_IDS", 20)
+    monkeypatch.setattr(P, "TASK_IDS", 500)
+    points = spark.range(1500).select(
+        point_id(F.col("id").cast("string")).alias("point_id"),
+        F.array(F.lit("hot"), F.concat(F.lit("w"), F.col("id") % 150)).alias("tokens"),
+    )
+    folder = fresh_folder(spark, "rare")
+    P.write_postings(points, folder)
+    found = P.read_postings(spark, folder)
+    rare = found.filter("token != 'hot'").agg(F.count("token"), F.min(F.size("point_ids")), F.max(F.size("point_ids"))).first()
+    assert tuple(rare) == (150, 10, 10)
+    hot = found.filter("token = 'hot'").select("prefix", F.explode("point_ids").alias("point_id"))
+    assert hot.filter("NOT startswith(point_id, prefix)").isEmpty()
+    assert hot.select("point_id").exceptAll(points.select("point_id")).isEmpty() and hot.count() == 1500
+    longest = found.filter("token = 'hot'").select(F.size("point_ids").alias("n"), F.sort_array("point_ids") == F.col("point_ids"))
+    assert longest.agg(F.max("n")).first()[0] < 60 and longest.select(F.every(longest[1])).first()[0]
+    words = P.points_with(found, ["hot", "w7"]).collect()
+    assert len(words) == 1500 and sum(sorted(row["tokens"]) == ["hot", "w7"] for row in words) == 10
+
+
 def test_texts_of_different_ids_are_shuffled_once(spark, monkeypatch):
     def refused(*_, **__):
         raise AssertionError("texts shuffled by id")
