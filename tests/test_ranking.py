@@ -262,3 +262,21 @@ def test_only_rows_of_repeated_ids_are_shuffled(spark):
     assert points.count() == len(found) == 51
     assert found["p3"] == ("a text", [0.5, 0.5]) and found["p4"] == ("text 4", [0.0, 1.0]) and found["p5"][0] == "text 5"
     assert [v for t, v in found.values() if t == "none"] == [[0.0, 1.0]]
+
+
+def test_points_are_written_once_however_many_blocks(spark, points):
+    """More blocks of queries shuffle no more, and packed points rank as points do."""
+    _, queries = _queries(spark, 40)
+    c = collection(spark, points, "Cosine")
+    asked = queries.select(
+        F.col("query_id").cast("string").alias("query_key"),
+        S.extract_keywords(F.col("query")).alias("keywords"),
+        F.col("query_vector").cast("array<double>").alias("query_vector"),
+    )
+    wanted = sorted(map(tuple, R.rank_legs(R.candidates_broadcast(c.points, R.QueryBlock.from_arrow(asked.toArrow(), c.vector_size), "Cosine", R.LegLimits(5)), "Cosine", R.LegLimits(5)).collect()))
+    for blocks, slices in ((1, 1), (7, 1), (5, 3)):
+        made = R.candidates_dealt(c.points, asked, "Cosine", c.vector_size, R.LegLimits(5), blocks, slices)
+        text = made._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in text and text.count("Exchange ") == 1 and "embedding" not in text.split("Exchange ")[1]
+        assert sorted(map(tuple, R.rank_legs(made, "Cosine", R.LegLimits(5), slices).collect())) == wanted
+    assert R.dealing(spark, 500_000, 250_000, R.LegLimits(3), 1)[0] == 1
